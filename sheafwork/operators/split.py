@@ -42,8 +42,17 @@ def cut_key(rows: DataFrame, row_id: str = "id", share: float = VALIDATION_SHARE
     return ranked.filter(F.col("at") == F.col("place")).select(F.col("key").alias("cut"))
 
 
-def with_split(rows: DataFrame, row_id: str = "id", share: float = VALIDATION_SHARE, seed: str = SEED) -> DataFrame:
-    """Adds ``split``. Ids name rows; rows that repeat an id stay on one side."""
-    cut = cut_key(rows, row_id, share, seed).scalar()
+def with_split(
+    rows: DataFrame,
+    row_id: str = "id",
+    share: float = VALIDATION_SHARE,
+    seed: str = SEED,
+    of: DataFrame | None = None,
+) -> DataFrame:
+    """Adds ``split``. Ids name rows; rows that repeat an id stay on one side.
+
+    ``of`` is a cheaper frame with the same ids to find the cut in, by default ``rows``.
+    """
+    cut = cut_key(rows if of is None else of, row_id, share, seed).scalar()
     chosen = split_key(F.col(row_id), seed) <= cut
     return rows.withColumn("split", F.when(chosen, "val").otherwise("train"))

@@ -303,3 +303,48 @@ _REORG = _sql(
 )
 ORACLES["q_reorg_plan"] = _REORG
 ORACLES["q_reorg_summary"] = f"SELECT action, count(*) AS n_files FROM ({_REORG}) r GROUP BY action"
+
+_ONCE = "SELECT id, 1 AS n_lines FROM (SELECT id FROM done UNION SELECT id FROM bad) u"
+# Lanczos weights of eight samples onto five, normalised, and both passes with rounding to bytes.
+_LANCZOS = """
+t8 AS (SELECT unnest(range(8)) AS s), t5 AS (SELECT unnest(range(5)) AS t),
+o8 AS (SELECT t, s, (s + 0.5::DOUBLE - (t + 0.5::DOUBLE) * (8::DOUBLE / 5)) / (8::DOUBLE / 5) AS o FROM t5 CROSS JOIN t8),
+w8 AS (SELECT t, s, CASE WHEN abs(o) >= 3 THEN 0 WHEN o = 0 THEN 1 ELSE sin(pi() * o) / (pi() * o) * sin(pi() * o / 3) / (pi() * o / 3) END AS w FROM o8),
+n8 AS (SELECT t, s, w / sum(w) OVER (PARTITION BY t) AS w FROM w8),
+px8 AS (SELECT vec_id, s AS p, px[s + 1] AS v FROM pixels CROSS JOIN (SELECT unnest(range(64)) AS s) i),
+wide AS (SELECT vec_id, p // 8 AS y, t AS x, least(greatest(floor(sum(v * w) + 0.5), 0), 255) AS v
+  FROM px8 JOIN n8 ON n8.s = p % 8 GROUP BY ALL),
+small AS (SELECT vec_id, t AS y, x, CAST(least(greatest(floor(sum(v * w) + 0.5), 0), 255) AS INT) AS v FROM wide JOIN n8 ON n8.s = y GROUP BY vec_id, t, x)
+"""
+ORACLES |= {
+    "q_training_set": _joined(
+        f"""SELECT id, image_id, filename, {_CAPTION} AS caption, {_NAME} AS scientific_name, family, genus, species, code, {_SPLIT} AS split
+        FROM (SELECT *, dense_rank() OVER (ORDER BY {_NAME}) - 1 AS code FROM j) q"""
+    ),
+    "q_scan_tsv": _sql(("multimedia",), "SELECT gbif_id, identifier, country_code FROM multimedia"),
+    "q_bundle_explode": _joined("SELECT CAST(image_id AS STRING) AS image_id, filename, species, genus, family, institution FROM j"),
+    "q_sink_csv": _joined("SELECT row_number() OVER (ORDER BY id) - 1 AS row_index, * FROM j"),
+    "q_sink_jsonl": _sql(("multimedia",), "SELECT * FROM multimedia"),
+    "q_checkpoint_append": _ids(_ONCE),
+    "q_store_layout": _sql(
+        ("pixels",),
+        """SELECT gbif_id, substring(id, 1, 3) AS prefix1, CASE WHEN length(id) >= 6 THEN substring(id, 4, 3) ELSE '000' END AS prefix2, content_hex
+        FROM (SELECT vec_id * 37 AS gbif_id, CAST(vec_id * 37 AS STRING) AS id, array_to_string([printf('%02X', v) for v in px], '') AS content_hex FROM pixels) q""",
+    ),
+    "q_image_flatten": _sql(
+        ("pixels",),
+        """SELECT vec_id, 4 AS height, 4 AS width, 3 AS bands, array_to_string([printf('%02X', (v + (v >> 8)) >> 8) for v in vs], '') AS data_hex
+        FROM (SELECT vec_id, [px[4 * (i // 3) + i % 3 + 1] * px[4 * (i // 3) + 4] + 255 * (255 - px[4 * (i // 3) + 4]) + 128 for i in range(48)] AS vs FROM pixels) q""",
+    ),
+    "q_image_resize": _sql(
+        ("pixels",),
+        """SELECT vec_id, 5 AS height, 5 AS width, 3 AS bands, string_agg(repeat(printf('%02X', v), 3), '' ORDER BY y, x) AS data_hex FROM small GROUP BY vec_id""",
+        _LANCZOS,
+    ),
+    "q_image_scan": """SELECT CAST(vec_id AS STRING) || '.png' AS name, vec_id % 50 = 0 AS empty, CASE WHEN vec_id % 50 > 1 THEN 8 END AS height,
+        CASE WHEN vec_id % 50 > 1 THEN 8 END AS width, vec_id % 50 > 1 AS readable FROM embeddings""",
+    "st_guard": ORACLES["q_guard_replay"],
+    "st_host_errors": ORACLES["q_host_errors"],
+    "st_checkpoint": _ids(_ONCE),
+    "st_milestones": ORACLES["q_milestones"],
+}
