@@ -77,7 +77,9 @@ def broken_hosts(errors: DataFrame, threshold: int = http.BREAKER_ERRORS) -> Dat
 def breaker_state(attempts: DataFrame, threshold: int = http.BREAKER_ERRORS) -> DataFrame:
     """Errors of the host before each attempt and whether its breaker is open by then."""
     events = host_events(attempts).select("host", "ts_us", "attempt_id", "is_error")
-    counted = running_count(events, ["host"], ORDER, "is_error", "errors_before")
+    counted = running_count(
+        events, ["host"], ORDER, "is_error", "errors_before", keep=["host", "attempt_id", "is_error"]
+    )
     return counted.select("attempt_id", "errors_before", (F.col("errors_before") >= threshold).alias("open"))
 
 

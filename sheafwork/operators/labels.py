@@ -1,7 +1,8 @@
 """Metadata bundles joined into labelled rows.
 
 The joins carry no broadcast hint: Spark broadcasts a dimension when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise, splitting skewed keys.
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise. Keys that own a large share of
+the annotations are then spread over tasks (``skew``).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import caption, scientific_name, word
 from .ordered import exact_rank
+from .skew import heavy_keys, spread_join
 
 
 def last_wins(df: DataFrame, key: str, position: Sequence[str] | None = None) -> DataFrame:
@@ -26,23 +28,29 @@ def last_wins(df: DataFrame, key: str, position: Sequence[str] | None = None) ->
     return df.groupBy(key).agg(chosen.alias("_row")).select(key, "_row.*")
 
 
+def _star_join(annotations: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Annotations with one row of each dimension; every dimension is deduplicated first."""
+    heavy = heavy_keys(annotations, *dimensions)
+    rows = annotations
+    for key, dimension in dimensions.items():
+        rows = spread_join(rows, last_wins(dimension, key), heavy[key], by=F.col("id"))
+    return rows
+
+
 def label_join_2022(
     annotations: DataFrame, images: DataFrame, categories: DataFrame, institutions: DataFrame
 ) -> DataFrame:
     """Images are looked up by ``image_id``; names come from the category's own columns."""
-    return (
-        annotations.join(last_wins(images, "image_id"), "image_id")
-        .join(last_wins(categories.select("category_id", "family", "genus", "species"), "category_id"), "category_id")
-        .join(last_wins(institutions, "institution_id"), "institution_id")
-        .select(
-            "id",
-            "image_id",
-            F.col("file_name").alias("filename"),
-            "species",
-            "genus",
-            "family",
-            F.col("collection_code").alias("institution"),
-        )
+    names = categories.select("category_id", "family", "genus", "species")
+    star = {"image_id": images, "category_id": names, "institution_id": institutions}
+    return _star_join(annotations, star).select(
+        "id",
+        "image_id",
+        F.col("file_name").alias("filename"),
+        "species",
+        "genus",
+        "family",
+        F.col("collection_code").alias("institution"),
     )
 
 
@@ -50,20 +58,17 @@ def label_join_2021(
     annotations: DataFrame, images: DataFrame, categories: DataFrame, institutions: DataFrame
 ) -> DataFrame:
     """Images are looked up by the annotation's own id; genus and species are words of the name."""
-    return (
-        annotations.select("id", "category_id", "institution_id")
-        .join(last_wins(images, "id"), "id")
-        .join(last_wins(categories.select("category_id", "name", "family"), "category_id"), "category_id")
-        .join(last_wins(institutions, "institution_id"), "institution_id")
-        .select(
-            "id",
-            F.col("id").alias("image_id"),
-            F.replace("file_name", F.lit("images/"), F.lit("")).alias("filename"),
-            word(F.col("name"), 1).alias("species"),
-            word(F.col("name"), 0).alias("genus"),
-            "family",
-            F.col("institution_name").alias("institution"),
-        )
+    names = categories.select("category_id", "name", "family")
+    facts = annotations.select("id", "category_id", "institution_id")
+    star = {"id": images, "category_id": names, "institution_id": institutions}
+    return _star_join(facts, star).select(
+        "id",
+        F.col("id").alias("image_id"),
+        F.replace("file_name", F.lit("images/"), F.lit("")).alias("filename"),
+        word(F.col("name"), 1).alias("species"),
+        word(F.col("name"), 0).alias("genus"),
+        "family",
+        F.col("institution_name").alias("institution"),
     )
 
 

@@ -16,6 +16,7 @@ from ..functions.store import (
     stem_of,
     store_path,
 )
+from .skew import heavy_keys, spread_join
 
 
 def store_places(ids: DataFrame, base: str = "store") -> DataFrame:
@@ -60,8 +61,8 @@ def reorganise_plan(inventory: DataFrame, base: str = "store") -> DataFrame:
     """``path, target, action, collision`` for each image file of a flat folder.
 
     Files whose stem is not a number are skipped. A target wanted by several files is a collision.
-    Targets are counted before they are joined back, and only those wanted twice take part, so
-    neither skipped files nor a much-wanted target gather in one task.
+    Targets are counted before they are joined back, only those wanted twice take part, and a
+    much-wanted target is spread, so neither skipped files nor copies gather in one task.
     """
     stem = stem_of(F.col("path"))
     target = F.when(is_numeric_stem(stem), store_path(base, stem, base_name(F.col("path"))))
@@ -73,7 +74,8 @@ def reorganise_plan(inventory: DataFrame, base: str = "store") -> DataFrame:
         .filter(F.col("n") > 1)
         .select("target", F.lit(True).alias("contested"))
     )
-    moved = files.filter(F.col("target").isNotNull()).join(contested, "target", "left")
+    moving = files.filter(F.col("target").isNotNull())
+    moved = spread_join(moving, contested, heavy_keys(moving, "target")["target"], by=F.col("path"), how="left")
     skipped = files.filter(F.col("target").isNull()).withColumn("contested", F.lit(False))
     return moved.unionByName(skipped).select(
         "path",

@@ -24,13 +24,13 @@ CHUNK, ROW, CARRY = "_chunk", "_row", "_carry"
 _ROW_BITS = (1 << 33) - 1
 
 
-def ordered_chunks(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def ordered_chunks(df: DataFrame, order: Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:
     """Rows in global order of ``order``, with chunk number and row number inside the chunk.
 
-    Pinned, because the bounds of a range exchange are sampled anew on every run and all consumers
-    must see the same chunks.
+    Columns outside ``keep`` are dropped once the rows are in order. Pinned, because the bounds of a
+    range exchange are sampled anew on every run and all consumers must see the same chunks.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).select(*(keep or df.columns))
     return pinned(
         ranged.withColumn(CHUNK, F.spark_partition_id()).withColumn(
             ROW, F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
@@ -120,16 +120,15 @@ def _field_list(df: DataFrame, *added: T.StructField) -> T.StructType:
 
 
 def running_count(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], counted: str, name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    counted: str,
+    name: str,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number of earlier rows of the same key for which the 0/1 column ``counted`` is 1."""
-    chunks = ordered_chunks(df, [*keys, *order])
-    return running_count_of_chunks(chunks, keys, counted, name)
-
-
-def running_count_of_chunks(
-    chunks: DataFrame, keys: Sequence[str], counted: str, name: str
-) -> DataFrame:
+    chunks = ordered_chunks(df, [*keys, *order], keep)
     totals = edge_rows(chunks, keys).groupBy(CHUNK, *keys).agg(F.sum(counted).cast("bigint").alias("n"))
     carried = with_carry(chunks, hand_over(totals, keys, lambda w: F.sum("n").over(w)), keys)
     schema = _field_list(chunks, T.StructField(name, T.LongType()))
@@ -155,9 +154,12 @@ def running_count_of_chunks(
     return carried.mapInPandas(count, schema)
 
 
-def rank_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+def rank_in_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, keep: Sequence[str] | None = None
+) -> DataFrame:
     """1-based position of a row among the rows of its key."""
-    ranked = running_count(df.withColumn("_one", F.lit(1)), keys, order, "_one", "_earlier")
+    kept = [*(keep or df.columns), "_one"]
+    ranked = running_count(df.withColumn("_one", F.lit(1)), keys, order, "_one", "_earlier", kept)
     return ranked.withColumn(name, F.col("_earlier") + 1).drop("_one", "_earlier")
 
 
