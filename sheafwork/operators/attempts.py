@@ -77,9 +77,7 @@ def broken_hosts(errors: DataFrame, threshold: int = http.BREAKER_ERRORS) -> Dat
 def breaker_state(attempts: DataFrame, threshold: int = http.BREAKER_ERRORS) -> DataFrame:
     """Errors of the host before each attempt and whether its breaker is open by then."""
     events = host_events(attempts).select("host", "ts_us", "attempt_id", "is_error")
-    counted = running_count(
-        events, ["host"], ORDER, "is_error", "errors_before", keep=["host", "attempt_id", "is_error"]
-    )
+    counted = running_count(events, "host", ORDER, "is_error", "errors_before")
     return counted.select("attempt_id", "errors_before", (F.col("errors_before") >= threshold).alias("open"))
 
 
@@ -91,7 +89,7 @@ def observed_cooldown(attempts: DataFrame) -> DataFrame:
     events = host_events(attempts).select(
         "host", "ts_us", "attempt_id", (F.col("ts_us") + F.col("rest_us")).alias("until_us")
     )
-    seen = last_before(events, ["host"], ORDER, "until_us", "latest_us")
+    seen = last_before(events, "host", ORDER, "until_us", "latest_us")
     return seen.select("attempt_id", F.coalesce(F.col("ts_us") < F.col("latest_us"), F.lit(False)).alias("blocked"))
 
 

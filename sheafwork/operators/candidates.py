@@ -58,9 +58,12 @@ def expanded(catalogue: DataFrame, manifests: DataFrame) -> DataFrame:
 
 
 def ordered_candidates(candidates: DataFrame, seed: str = "42") -> DataFrame:
-    """``gbif_id, pos, candidate_url`` in an order that looks random but repeats."""
+    """``gbif_id, pos, candidate_url`` in an order that looks random but repeats.
+
+    ``candidates`` is read twice; give it as a written table.
+    """
     shuffled = candidates.withColumn(
         "_mix", F.md5(F.concat_ws("|", F.col("gbif_id").cast("string"), "candidate_url", F.lit(seed)))
     )
-    ranked = rank_in_key(shuffled, ["gbif_id"], ["_mix", "candidate_url"], "pos", keep=["gbif_id", "candidate_url"])
+    ranked = rank_in_key(shuffled, "gbif_id", ["_mix", "candidate_url"], "pos", heavy_keys(candidates, "gbif_id")["gbif_id"])
     return ranked.select("gbif_id", "pos", "candidate_url")

@@ -10,9 +10,10 @@ work divisible:
   end is therefore a step function of the rest in force at the start, with a step for each
   rest-asking attempt that could come first.
 
-So every chunk publishes its steps (consecutive steps with the same end are merged), the steps of a
-host are walked in order, which hands each chunk its starting rest, and the chunks are replayed in
-parallel. The walk needs no memory beyond one batch; hosts that fit into one chunk publish nothing.
+Ordinary hosts are replayed as a stream over sorted partitions. The log of a heavy host (``skew``) is
+cut into chunks: every chunk publishes its steps (neighbouring steps with the same end are merged),
+the steps of a host are walked in order, which hands each chunk its starting rest, and the chunks
+are replayed in parallel. No task holds more than one batch and one chunk's rest-asking attempts.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.http import BREAKER_ERRORS
 from .attempts import ORDER, host_events
 from .ordered import CARRY, CHUNK, ROW, KeyRuns, hand_over, ordered_chunks, with_carry
+from .skew import Heavy, divided, heavy_keys
 
 NEVER, ALWAYS = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
@@ -187,13 +189,29 @@ def guard_replay(attempts: DataFrame, threshold: int = BREAKER_ERRORS) -> DataFr
     return replay_events(host_events(attempts), threshold)
 
 
-def replay_events(events: DataFrame, threshold: int = BREAKER_ERRORS) -> DataFrame:
+def replay_events(events: DataFrame, threshold: int = BREAKER_ERRORS, heavy: Heavy | None = None) -> DataFrame:
     narrow = events.select("host", "ts_us", "attempt_id", "is_error", "rest_us")
-    chunks = ordered_chunks(narrow, ["host", *ORDER]).drop(ROW)
-    rested = with_carry(chunks, _starting_rest(chunks), ["host"], "_rest")
-    errors = hand_over(_sent_errors(rested), ["host"], lambda w: F.sum("n").over(w))
-    ready = with_carry(rested, errors, ["host"], "_errors")
+    heavy = heavy or heavy_keys(narrow, "host")["host"]
+    light, massive = divided(narrow, heavy)
+    fresh = F.lit(None).cast("bigint")
+    ready = (
+        light.repartition("host")
+        .sortWithinPartitions("host", *ORDER)
+        .withColumns({"_rest": fresh, "_errors": fresh})
+    )
+    decided = _decided(ready, threshold)
+    return decided.unionAll(_decided(_chunked(massive), threshold)) if heavy.tasks else decided
+
+
+def _chunked(events: DataFrame) -> DataFrame:
+    """Rows in chunks, with the rest and the errors each chunk starts with."""
+    chunks = ordered_chunks(events, ["host", *ORDER]).drop(ROW)
+    rested = with_carry(chunks, _starting_rest(chunks), "host", "_rest")
+    errors = hand_over(_sent_errors(rested), "host", lambda w: F.sum("n").over(w))
+    return with_carry(rested, errors, "host", "_errors")
+
 
+def _decided(ready: DataFrame, threshold: int) -> DataFrame:
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         so_far = 0
         for batch, passes, spans in _replayed(batches):
@@ -203,9 +221,8 @@ def replay_events(events: DataFrame, threshold: int = BREAKER_ERRORS) -> DataFra
             for lo, hi, continued in spans:
                 if not continued:
                     so_far = 0 if pd.isna(handed.iloc[lo]) else int(handed.iloc[lo])
-                total = int(errors[lo:hi].sum())
                 before[lo:hi] += so_far - before[lo]
-                so_far += total
+                so_far += int(errors[lo:hi].sum())
             decision = np.where(before >= threshold, "skip_breaker", np.where(passes, "sent", "skip_cooldown"))
             yield pd.DataFrame({"attempt_id": batch["attempt_id"], "decision": decision})
 

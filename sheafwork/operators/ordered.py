@@ -1,11 +1,12 @@
 """Ordered work over data in which one key may own a large share of all rows.
 
-A window partitioned by such a key would put all its rows into one task. Here rows are put in
-order by one range exchange instead, which cuts between rows and so also cuts a hot key into many
-even chunks. The layout is pinned, each chunk is worked through as a stream, and what has to be
-handed from one chunk to the next is computed from a summary table. Only the key a chunk starts
-with can have begun in an earlier chunk, so the hand-over table never has more rows than there are
-chunks: that bound is what allows it to be broadcast.
+Rows of ordinary keys go through a window partitioned by the key. Rows of heavy keys (``skew``)
+would all end up in one task that way. They are put in order by one range exchange instead, which
+cuts between rows and so also cuts a key into many even chunks. That layout is pinned, each chunk
+is worked through as a stream, and what has to be handed from one chunk to the next is computed
+from a summary table. Only the key a chunk starts with can have begun in an earlier chunk, so the
+hand-over table never has more rows than there are chunks: that bound is what allows it to be
+broadcast.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..staging import pinned
+from .skew import Heavy, divided, heavy_keys
 
 CHUNK, ROW, CARRY = "_chunk", "_row", "_carry"
 _ROW_BITS = (1 << 33) - 1
@@ -55,35 +57,30 @@ def exact_rank(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     )
 
 
-def edge_rows(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
+def edge_rows(chunks: DataFrame, key: str) -> DataFrame:
     """Rows of the first and the last key of each chunk: only these keys can cross a chunk border."""
-    key = F.struct(*keys)
     edges = (
         chunks.groupBy(CHUNK)
         .agg(F.min_by(key, ROW).alias("first"), F.max_by(key, ROW).alias("last"))
-        .select(CHUNK, F.explode(F.array_distinct(F.array("first", "last"))).alias("edge"))
-        .select(CHUNK, "edge.*")
+        .select(CHUNK, F.explode(F.array_distinct(F.array("first", "last"))).alias(key))
     )
     # At most two rows per chunk.
-    return chunks.join(F.broadcast(edges), [CHUNK, *keys], "left_semi")
+    return chunks.join(F.broadcast(edges), [CHUNK, key], "left_semi")
 
 
-def hand_over(
-    summary: DataFrame, keys: Sequence[str], carry: Callable[[Window], Column]
-) -> DataFrame:
+def hand_over(summary: DataFrame, key: str, carry: Callable[[Window], Column]) -> DataFrame:
     """Value each chunk inherits for the key it starts with.
 
     ``summary`` has one row per chunk and edge key; ``carry`` gets the window of earlier chunks of the
     same key. Keys that live in one chunk only yield null and are dropped.
     """
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(CHUNK, *keys, carry(earlier).alias(CARRY)).filter(F.col(CARRY).isNotNull())
+    inherited = carry(_earlier_rows(key, [CHUNK]))
+    return summary.select(CHUNK, key, inherited.alias(CARRY)).filter(F.col(CARRY).isNotNull())
 
 
-def with_carry(chunks: DataFrame, carry: DataFrame, keys: Sequence[str], name: str = CARRY) -> DataFrame:
+def with_carry(chunks: DataFrame, carry: DataFrame, key: str, name: str = CARRY) -> DataFrame:
     """Attach the hand-over value; at most one row per chunk is broadcast."""
-    renamed = carry.withColumnRenamed(CARRY, name) if name != CARRY else carry
-    return chunks.join(F.broadcast(renamed), [CHUNK, *keys], "left")
+    return chunks.join(F.broadcast(carry.withColumnRenamed(CARRY, name)), [CHUNK, key], "left")
 
 
 class KeyRuns:
@@ -119,22 +116,46 @@ def _field_list(df: DataFrame, *added: T.StructField) -> T.StructType:
     return T.StructType([*kept, *added])
 
 
-def running_count(
+def _by_weight(
     df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    counted: str,
-    name: str,
-    keep: Sequence[str] | None = None,
+    key: str,
+    heavy: Heavy | None,
+    ordinary: Callable[[DataFrame], DataFrame],
+    chunked: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    heavy = heavy or heavy_keys(df, key)[key]
+    if not heavy.tasks:
+        return ordinary(df)
+    light, massive = divided(df, heavy)
+    return ordinary(light).unionByName(chunked(massive))
+
+
+def _earlier_rows(key: str, order: Sequence[str]) -> Window:
+    return Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def running_count(
+    df: DataFrame, key: str, order: Sequence[str], counted: str, name: str, heavy: Heavy | None = None
 ) -> DataFrame:
     """Number of earlier rows of the same key for which the 0/1 column ``counted`` is 1."""
-    chunks = ordered_chunks(df, [*keys, *order], keep)
-    totals = edge_rows(chunks, keys).groupBy(CHUNK, *keys).agg(F.sum(counted).cast("bigint").alias("n"))
-    carried = with_carry(chunks, hand_over(totals, keys, lambda w: F.sum("n").over(w)), keys)
+    before = F.coalesce(F.sum(counted).over(_earlier_rows(key, order)), F.lit(0)).cast("bigint")
+    return _by_weight(
+        df,
+        key,
+        heavy,
+        lambda rows: rows.withColumn(name, before),
+        lambda rows: chunked_count(rows, key, order, counted, name),
+    )
+
+
+def chunked_count(df: DataFrame, key: str, order: Sequence[str], counted: str, name: str) -> DataFrame:
+    chunks = ordered_chunks(df, [key, *order])
+    totals = edge_rows(chunks, key).groupBy(CHUNK, key).agg(F.sum(counted).cast("bigint").alias("n"))
+    carried = with_carry(chunks, hand_over(totals, key, lambda w: F.sum("n").over(w)), key)
     schema = _field_list(chunks, T.StructField(name, T.LongType()))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        runs, so_far = KeyRuns(keys), 0
+        runs, so_far = KeyRuns([key]), 0
         for batch in batches:
             if batch.empty:
                 continue
@@ -142,8 +163,7 @@ def running_count(
             ones = batch[counted].to_numpy(dtype=np.int64)
             through = np.cumsum(ones)
             before = through - ones
-            handed = batch[CARRY].fillna(0).to_numpy(dtype=np.int64)
-            value = before - before[start] + handed
+            value = before - before[start] + batch[CARRY].fillna(0).to_numpy(dtype=np.int64)
             if continued:
                 first_run = start == 0
                 value[first_run] = before[first_run] + so_far
@@ -155,44 +175,56 @@ def running_count(
 
 
 def rank_in_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, keep: Sequence[str] | None = None
+    df: DataFrame, key: str, order: Sequence[str], name: str, heavy: Heavy | None = None
 ) -> DataFrame:
     """1-based position of a row among the rows of its key."""
-    kept = [*(keep or df.columns), "_one"]
-    ranked = running_count(df.withColumn("_one", F.lit(1)), keys, order, "_one", "_earlier", kept)
-    return ranked.withColumn(name, F.col("_earlier") + 1).drop("_one", "_earlier")
+    position = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint")
+
+    def chunked(rows: DataFrame) -> DataFrame:
+        counted = chunked_count(rows.withColumn("_one", F.lit(1)), key, order, "_one", "_earlier")
+        return counted.withColumn(name, F.col("_earlier") + 1).drop("_one", "_earlier")
+
+    return _by_weight(df, key, heavy, lambda rows: rows.withColumn(name, position), chunked)
 
 
 def last_before(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str
+    df: DataFrame, key: str, order: Sequence[str], value: str, name: str, heavy: Heavy | None = None
 ) -> DataFrame:
     """Latest non-null ``value`` (a long) among the earlier rows of the same key."""
-    chunks = ordered_chunks(df, [*keys, *order])
-    latest = edge_rows(chunks, keys).groupBy(CHUNK, *keys).agg(
+    latest = F.last(value, ignorenulls=True).over(_earlier_rows(key, order))
+    return _by_weight(
+        df,
+        key,
+        heavy,
+        lambda rows: rows.withColumn(name, latest),
+        lambda rows: chunked_last(rows, key, order, value, name),
+    )
+
+
+def chunked_last(df: DataFrame, key: str, order: Sequence[str], value: str, name: str) -> DataFrame:
+    chunks = ordered_chunks(df, [key, *order])
+    latest = edge_rows(chunks, key).groupBy(CHUNK, key).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(ROW))).alias("v")
     )
-    carry = hand_over(latest, keys, lambda w: F.last("v", ignorenulls=True).over(w))
-    carried = with_carry(chunks, carry, keys)
+    carry = hand_over(latest, key, lambda w: F.last("v", ignorenulls=True).over(w))
+    carried = with_carry(chunks, carry, key)
     schema = _field_list(chunks, T.StructField(name, T.LongType()))
 
     def look_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        runs, held = KeyRuns(keys), None
+        runs, held = KeyRuns([key]), pd.NA
         for batch in batches:
             if batch.empty:
                 continue
             start, continued = runs.starts(batch)
-            values = batch[value].astype("Int64")
-            there = values.notna().to_numpy()
-            filled = values.fillna(0).to_numpy(dtype=np.int64)
-            at = np.maximum.accumulate(np.where(there, np.arange(len(batch)), -1))
-            previous = np.concatenate(([-1], at[:-1]))
-            inside = previous >= start
-            handed = batch[CARRY].astype("Int64")
+            values = batch[value].astype("Int64").reset_index(drop=True)
+            at = np.maximum.accumulate(np.where(values.notna(), np.arange(len(batch)), -1))
+            previous = np.append(-1, at[:-1])
+            result = batch[CARRY].astype("Int64").reset_index(drop=True)
             if continued:
-                handed = handed.mask(pd.Series(start == 0, index=batch.index), pd.NA if held is None else held)
-            result = handed.mask(pd.Series(inside, index=batch.index), pd.Series(filled[previous], index=batch.index, dtype="Int64"))
-            held = int(filled[-1]) if there[-1] else (None if pd.isna(result.iloc[-1]) else int(result.iloc[-1]))
-            batch[name] = result
+                result = result.mask(start == 0, held)
+            result = result.mask(previous >= start, values.take(np.maximum(previous, 0)).reset_index(drop=True))
+            held = result.iloc[-1] if pd.isna(values.iloc[-1]) else values.iloc[-1]
+            batch[name] = result.to_numpy(dtype=object, na_value=None)
             yield batch[schema.fieldNames()]
 
     return carried.mapInPandas(look_back, schema)

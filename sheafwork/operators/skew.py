@@ -46,6 +46,12 @@ def heavy_keys(df: DataFrame, *keys: str) -> dict[str, Heavy]:
     return found
 
 
+def divided(df: DataFrame, heavy: Heavy) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys (and of no key), and rows of heavy keys."""
+    listed = F.coalesce(F.col(heavy.key).isin([value for value, _ in heavy.tasks]), F.lit(False))
+    return df.filter(~listed), df.filter(listed)
+
+
 def spread_join(
     facts: DataFrame, dimension: DataFrame, heavy: Heavy, by: Column, how: str = "inner"
 ) -> DataFrame:

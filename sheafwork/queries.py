@@ -12,6 +12,7 @@ from .functions.store import STORE_BOX, fit_edge
 from .operators import attempts as log
 from .operators import candidates, catalogue, guard, install, labels, layout, progress, quality, split
 from .operators.evidence import clean_ids, id_evidence, remaining
+from .staging import staged
 from .standins import view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,7 +320,7 @@ def q_expand_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_candidate_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates.ordered_candidates(q_expand_candidates(spark, sf_dir))
+    return candidates.ordered_candidates(staged(q_expand_candidates(spark, sf_dir), "candidates"))
 
 
 # Images
