@@ -7,6 +7,7 @@ the shard folders over the cluster, then whole trees.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,17 +21,38 @@ _ENTRY = "path string, is_dir boolean, length bigint"
 _ROWS = 10_000
 
 
+def _entries(filesystem: fs.FileSystem, folder: str) -> Iterator[tuple[str, bool, int | None]]:
+    """Entries directly in a folder, one at a time where the file system allows it."""
+    if isinstance(filesystem, fs.LocalFileSystem):
+        with os.scandir(folder) as found:
+            for entry in found:
+                is_dir = entry.is_dir()
+                yield entry.path, is_dir, None if is_dir else entry.stat().st_size
+        return
+    for info in filesystem.get_file_info(fs.FileSelector(folder)):
+        is_dir = info.type == fs.FileType.Directory
+        yield info.path, is_dir, None if is_dir else info.size
+
+
 def _children(folder: str, recursive: bool) -> Iterator[pd.DataFrame]:
     filesystem, inner = fs.FileSystem.from_uri(folder)
-    prefix = folder[: len(folder) - len(inner)] if folder.endswith(inner) else ""
-    found = filesystem.get_file_info(fs.FileSelector(inner, recursive=recursive))
-    entries = [
-        (prefix + i.path, i.type == fs.FileType.Directory, None if i.type == fs.FileType.Directory else i.size)
-        for i in found
-        if not (recursive and i.type == fs.FileType.Directory)
-    ]
-    for at in range(0, len(entries), _ROWS):
-        yield pd.DataFrame(entries[at : at + _ROWS], columns=["path", "is_dir", "length"]).astype({"length": "Int64"})
+    scheme = folder[: len(folder) - len(inner)] if folder.endswith(inner) else ""
+    waiting, found = [inner], []
+    while waiting:
+        for path, is_dir, length in _entries(filesystem, waiting.pop()):
+            if is_dir and recursive:
+                waiting.append(path)
+                continue
+            found.append((scheme + path, is_dir, length))
+            if len(found) == _ROWS:
+                yield _frame(found)
+                found = []
+    if found:
+        yield _frame(found)
+
+
+def _frame(entries: list[tuple[str, bool, int | None]]) -> pd.DataFrame:
+    return pd.DataFrame(entries, columns=["path", "is_dir", "length"]).astype({"length": "Int64"})
 
 
 def _open_folders(entries: DataFrame, recursive: bool) -> DataFrame:
