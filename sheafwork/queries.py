@@ -12,7 +12,7 @@ from .functions.store import STORE_BOX, fit_edge
 from .operators import attempts as log
 from .operators import candidates, catalogue, guard, install, labels, layout, progress, quality, split
 from .operators.evidence import clean_ids, id_evidence, remaining
-from .staging import staged
+from .staging import pinned, staged
 from .standins import view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,7 +94,7 @@ def q_extra_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.report_lines(_states(spark, sf_dir), RUN_TIME, STATUS_DIR, OUTPUT_DIR)
+    return progress.report_lines(pinned(_states(spark, sf_dir)), RUN_TIME, STATUS_DIR, OUTPUT_DIR)
 
 
 # Catalogue and plan
@@ -229,7 +229,7 @@ def q_label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.with_split(_joined(spark, sf_dir)).select("id", "split")
+    return split.with_split(staged(_joined(spark, sf_dir).select("id"), "ids"))
 
 
 @query
