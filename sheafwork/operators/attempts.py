@@ -10,6 +10,8 @@ from ..functions.urls import host_of
 from .ordered import exact_rank, last_before, running_count
 
 ORDER = ("ts_us", "attempt_id")
+# Completions between notifications, between log entries, and between log entries of a resize.
+NOTIFY_EVERY, LOG_EVERY, RESIZE_LOG_EVERY = 50_000, 10_000, 20_000
 
 
 def classified(attempts: DataFrame) -> DataFrame:
@@ -118,7 +120,7 @@ def state_totals(states: DataFrame) -> DataFrame:
     return states.groupBy("state").agg(F.count("*").alias("n_ids"))
 
 
-def milestones(completions: DataFrame, every: int, stored: int = 0) -> DataFrame:
+def milestones(completions: DataFrame, every: int = NOTIFY_EVERY, stored: int = 0) -> DataFrame:
     """Every ``every``-th completion in time order, counting on from ``stored`` files."""
     ranked = exact_rank(completions.select("ts_us", "attempt_id", "gbif_id"), ORDER, "_rank")
     ordinal = F.col("_rank") + F.lit(stored)

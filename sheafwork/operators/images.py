@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ..functions.store import DEFAULT_BOX
 
@@ -57,18 +58,24 @@ def fitted_size(width: int, height: int, box: int) -> tuple[int, int]:
 
 
 def _each_image(images: DataFrame, change: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    schema = images.schema
+    """Apply ``change`` to each image; an image it fails on keeps its row, without pixels and with ``error``."""
+    schema = T.StructType([*images.schema.fields, T.StructField("error", T.StringType())])
+    changed = ["height", "width", "nChannels", "mode", "data", "error"]
+
+    def one(height: int, width: int, bands: int, data: bytes) -> tuple:
+        try:
+            out = np.ascontiguousarray(change(np.frombuffer(data, dtype=np.uint8).reshape(height, width, bands)))
+            return out.shape[0], out.shape[1], out.shape[2], MODES[out.shape[2]], out.tobytes(), None
+        except Exception as failure:  # noqa: BLE001
+            return height, width, bands, -1, None, f"{type(failure).__name__}: {failure}"
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for height, width, bands, data in zip(batch["height"], batch["width"], batch["nChannels"], batch["data"]):
-                pixels = np.frombuffer(data, dtype=np.uint8).reshape(height, width, bands)
-                out = np.ascontiguousarray(change(pixels))
-                rows.append((out.shape[0], out.shape[1], out.shape[2], MODES[out.shape[2]], out.tobytes()))
-            if rows:
-                batch[["height", "width", "nChannels", "mode", "data"]] = pd.DataFrame(rows, index=batch.index)
-                yield batch[schema.fieldNames()]
+            if batch.empty:
+                continue
+            rows = [one(*r) for r in zip(batch["height"], batch["width"], batch["nChannels"], batch["data"])]
+            batch[changed] = pd.DataFrame(rows, index=batch.index, columns=changed)
+            yield batch[schema.fieldNames()]
 
     return images.mapInPandas(apply, schema)
 

@@ -169,7 +169,8 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(writer, spark: SparkSession) -> None:
-    query = writer.option("checkpointLocation", stage_path(spark, "progress")).trigger(availableNow=True).start()
+    with guard.rocksdb_state(spark):
+        query = writer.option("checkpointLocation", stage_path(spark, "progress")).trigger(availableNow=True).start()
     query.awaitTermination()
 
 

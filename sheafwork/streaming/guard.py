@@ -9,10 +9,11 @@ has arrived. Bound the rows per trigger at the source (``maxFilesPerTrigger``,
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.http import BREAKER_ERRORS
@@ -49,10 +50,22 @@ class HostGuard(StatefulProcessor):
         pass
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB; the session is left as it was."""
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before)
+
+
 def guarded(events: DataFrame, threshold: int = BREAKER_ERRORS) -> DataFrame:
-    """Decision per arriving attempt; ``events`` is a stream of ``attempts.host_events`` rows."""
-    # State of this size is kept on local disk by the store and in the query's checkpoint.
-    events.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
+    """Decision per arriving attempt; ``events`` is a stream of ``attempts.host_events`` rows.
+
+    Start the query inside ``rocksdb_state``: this kind of state needs that store.
+    """
     return (
         events.select("host", "ts_us", "attempt_id", "is_error", "rest_us")
         .groupBy("host")

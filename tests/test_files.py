@@ -190,6 +190,14 @@ def test_resize_fits_the_box_and_never_enlarges(spark, tmp_path):
     assert got["a"][2] == {212}
 
 
+def test_an_image_that_fails_keeps_its_row(spark):
+    rows_in = [("ok", 1, 2, 1, 0, bytearray(b"ab")), ("cut", 2, 2, 3, 16, bytearray(b"abc"))]
+    df = spark.createDataFrame(rows_in, "origin string, height int, width int, nChannels int, mode int, data binary")
+    got = {r["origin"]: (r["data"], r["error"]) for r in flattened(df).collect()}
+    assert got["ok"] == (bytearray(b"aaabbb"), None)
+    assert got["cut"][0] is None and got["cut"][1].startswith("ValueError")
+
+
 def test_resize_folder_only_takes_large_files(spark, tmp_path):
     noise = np.random.default_rng(1).integers(0, 256, (900, 1000, 3), dtype=np.uint8)
     write(tmp_path / "f" / "large.png", png_bytes(noise))

@@ -29,7 +29,8 @@ def test_guard_stream_equals_replay(spark, tmp_path, seed):
 
     def start():
         stream = spark.readStream.schema(SCHEMA).parquet(source)
-        return guard.guarded(stream).writeStream.format("parquet").option("checkpointLocation", state).start(out)
+        with guard.rocksdb_state(spark):
+            return guard.guarded(stream).writeStream.format("parquet").option("checkpointLocation", state).start(out)
 
     feed(spark, source, [events[:400], events[400:401], events[401:1100], events[1100:]], SCHEMA, start, stop_after=2)
     assert decided(spark.read.schema(guard.DECISIONS).parquet(out)) == expected_decisions(events)
