@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.urls import is_manifest_link
 from ..schemas import MANIFEST
 from .ordered import rank_in_key
-from .skew import heavy_keys, spread_join
+from .skew import heavy_for, heavy_keys, spread_join
 
 # Image widths asked of an image service, widest first, and the link they go into.
 WIDTHS = (1600, 1200, 800)
@@ -48,7 +48,7 @@ def expanded(catalogue: DataFrame, manifests: DataFrame) -> DataFrame:
     plain = links.filter(~is_manifest_link(F.col("identifier")))
     read = manifests.select(F.col("url").alias("identifier"), manifest_image_urls(F.col("body")).alias("urls"))
     linked = links.filter(is_manifest_link(F.col("identifier")))
-    heavy = heavy_keys(linked, "identifier")["identifier"]
+    heavy = heavy_for(linked, {"identifier": read})["identifier"]
     named = (
         spread_join(linked, read, heavy, by=F.monotonically_increasing_id(), how="left")
         .withColumn("urls", F.when(F.size("urls") > 0, F.col("urls")).otherwise(F.array("identifier")))

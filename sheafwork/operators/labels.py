@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import caption, scientific_name, word
 from .ordered import exact_rank
-from .skew import heavy_keys, spread_join
+from .skew import heavy_for, spread_join
 
 
 def last_wins(df: DataFrame, key: str, position: Sequence[str] | None = None) -> DataFrame:
@@ -30,10 +30,11 @@ def last_wins(df: DataFrame, key: str, position: Sequence[str] | None = None) ->
 
 def _star_join(annotations: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     """Annotations with one row of each dimension; every dimension is deduplicated first."""
-    heavy = heavy_keys(annotations, *dimensions)
+    keyed = {key: last_wins(dimension, key) for key, dimension in dimensions.items()}
+    heavy = heavy_for(annotations, keyed)
     rows = annotations
-    for key, dimension in dimensions.items():
-        rows = spread_join(rows, last_wins(dimension, key), heavy[key], by=F.col("id"))
+    for key, dimension in keyed.items():
+        rows = spread_join(rows, dimension, heavy[key], by=F.col("id"))
     return rows
 
 

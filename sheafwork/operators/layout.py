@@ -16,7 +16,7 @@ from ..functions.store import (
     stem_of,
     store_path,
 )
-from .skew import heavy_keys, spread_join
+from .skew import heavy_for, spread_join
 
 
 def store_places(ids: DataFrame, base: str = "store") -> DataFrame:
@@ -75,7 +75,9 @@ def reorganise_plan(inventory: DataFrame, base: str = "store") -> DataFrame:
         .select("target", F.lit(True).alias("contested"))
     )
     moving = files.filter(F.col("target").isNotNull())
-    moved = spread_join(moving, contested, heavy_keys(moving, "target")["target"], by=F.col("path"), how="left")
+    moved = spread_join(
+        moving, contested, heavy_for(moving, {"target": contested})["target"], by=F.col("path"), how="left"
+    )
     skipped = files.filter(F.col("target").isNull()).withColumn("contested", F.lit(False))
     return moved.unionByName(skipped).select(
         "path",
