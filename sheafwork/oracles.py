@@ -329,7 +329,7 @@ ORACLES |= {
     "q_store_layout": _sql(
         ("pixels",),
         """SELECT gbif_id, substring(id, 1, 3) AS prefix1, CASE WHEN length(id) >= 6 THEN substring(id, 4, 3) ELSE '000' END AS prefix2, content_hex
-        FROM (SELECT vec_id * 37 + 1000000 AS gbif_id, CAST(vec_id * 37 + 1000000 AS STRING) AS id, array_to_string([printf('%02X', v) for v in px], '') AS content_hex FROM pixels) q""",
+        FROM (SELECT vec_id * 3 + 1000000 AS gbif_id, CAST(vec_id * 3 + 1000000 AS STRING) AS id, array_to_string([printf('%02X', v) for v in px], '') AS content_hex FROM pixels) q""",
     ),
     "q_image_flatten": _sql(
         ("pixels",),

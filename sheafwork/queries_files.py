@@ -96,7 +96,7 @@ def _bytes(px: Column) -> Column:
 @query
 def q_store_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "store")
-    gbif_id = (F.col("vec_id") * 37 + 1_000_000).alias("gbif_id")
+    gbif_id = (F.col("vec_id") * 3 + 1_000_000).alias("gbif_id")
     rows = view(spark, sf_dir, "pixels").select(gbif_id, _bytes(F.col("px")).alias("content"))
     write_store(rows, path)
     stored = read_store(spark, path, "gbif_id bigint, content binary, prefix1 string, prefix2 string")

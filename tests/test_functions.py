@@ -38,6 +38,8 @@ def test_manifest_link(spark, url, is_link):
 
 def test_strip_takes_all_white_space(spark):
     assert value(spark, ids.strip(F.col("s")), s=" \t 007 \r") == "007"
+    assert "".join(c for c in map(chr, range(0x10000)) if c.isspace()) == "".join(sorted(ids.WHITE_SPACE))
+    assert value(spark, ids.strip(F.col("s")), s="\u3000\u00a01 2\x1c") == "1 2"
 
 
 @pytest.mark.parametrize(
