@@ -62,8 +62,11 @@ def ordered_candidates(candidates: DataFrame, seed: str = "42") -> DataFrame:
 
     ``candidates`` is read twice; give it as a written table.
     """
-    shuffled = candidates.withColumn(
-        "_mix", F.md5(F.concat_ws("|", F.col("gbif_id").cast("string"), "candidate_url", F.lit(seed)))
+    mix = F.md5(F.concat_ws("|", F.col("gbif_id").cast("string"), "candidate_url", F.lit(seed)))
+    # Copies of a link are told apart by where they are read, so that a pile of copies can be cut too.
+    shuffled = candidates.withColumns({"_mix": mix, "_copy": F.monotonically_increasing_id()})
+    heavy = heavy_keys(candidates, "gbif_id")["gbif_id"]
+    order = ["_mix", "candidate_url", "_copy"]
+    return rank_in_key(shuffled, "gbif_id", order, "pos", heavy, drop=["_mix", "_copy"]).select(
+        "gbif_id", "pos", "candidate_url"
     )
-    ranked = rank_in_key(shuffled, "gbif_id", ["_mix", "candidate_url"], "pos", heavy_keys(candidates, "gbif_id")["gbif_id"])
-    return ranked.select("gbif_id", "pos", "candidate_url")

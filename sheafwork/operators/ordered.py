@@ -148,8 +148,10 @@ def running_count(
     )
 
 
-def chunked_count(df: DataFrame, key: str, order: Sequence[str], counted: str, name: str) -> DataFrame:
-    chunks = ordered_chunks(df, [key, *order])
+def chunked_count(
+    df: DataFrame, key: str, order: Sequence[str], counted: str, name: str, keep: Sequence[str] | None = None
+) -> DataFrame:
+    chunks = ordered_chunks(df, [key, *order], keep)
     totals = edge_rows(chunks, key).groupBy(CHUNK, key).agg(F.sum(counted).cast("bigint").alias("n"))
     carried = with_carry(chunks, hand_over(totals, key, lambda w: F.sum("n").over(w)), key)
     schema = _field_list(chunks, T.StructField(name, T.LongType()))
@@ -175,16 +177,26 @@ def chunked_count(df: DataFrame, key: str, order: Sequence[str], counted: str, n
 
 
 def rank_in_key(
-    df: DataFrame, key: str, order: Sequence[str], name: str, heavy: Heavy | None = None
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    name: str,
+    heavy: Heavy | None = None,
+    drop: Sequence[str] = (),
 ) -> DataFrame:
-    """1-based position of a row among the rows of its key."""
+    """1-based position of a row among the rows of its key.
+
+    Columns in ``drop`` are only there to order by. The order should tell all rows apart: rows that
+    are equal in it cannot be cut into chunks.
+    """
     position = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint")
+    kept = [c for c in df.columns if c not in drop]
 
     def chunked(rows: DataFrame) -> DataFrame:
-        counted = chunked_count(rows.withColumn("_one", F.lit(1)), key, order, "_one", "_earlier")
+        counted = chunked_count(rows.withColumn("_one", F.lit(1)), key, order, "_one", "_earlier", [*kept, "_one"])
         return counted.withColumn(name, F.col("_earlier") + 1).drop("_one", "_earlier")
 
-    return _by_weight(df, key, heavy, lambda rows: rows.withColumn(name, position), chunked)
+    return _by_weight(df, key, heavy, lambda rows: rows.withColumn(name, position).drop(*drop), chunked)
 
 
 def last_before(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
 
 from sheafwork.operators import ordered
+from sheafwork.operators.candidates import ordered_candidates
 from sheafwork.operators.skew import Heavy, heavy_keys, spread_join
 from pyspark.sql import functions as F
 
@@ -107,6 +109,16 @@ def test_spread_join_keeps_every_row(spark, data, how):
     assert sorted(map(repr, plain.collect())) == sorted(map(repr, spread.select(*plain.columns).collect()))
 
 
+def test_a_pile_of_copies_is_ordered_whole(many_chunks, tmp_path):
+    links = [(7, "http://h/same.jpg")] * 900 + [(7, f"http://h/{i}.jpg") for i in range(100)] + [(i, "x") for i in range(100, 150)]
+    many_chunks.createDataFrame(links, "gbif_id bigint, candidate_url string").repartition(4).write.parquet(str(tmp_path / "c"))
+    got = ordered_candidates(many_chunks.read.parquet(str(tmp_path / "c"))).collect()
+    assert sorted(r["pos"] for r in got if r["gbif_id"] == 7) == list(range(1, 1001))
+    assert sorted((r["gbif_id"], r["candidate_url"]) for r in got) == sorted(links)
+    by_mix = sorted((hashlib.md5(f"{g}|{u}|42".encode()).hexdigest(), u) for g, u in links if g == 7)
+    assert [r["candidate_url"] for r in sorted(got, key=lambda r: r["pos"]) if r["gbif_id"] == 7] == [u for _, u in by_mix]
+
+
 def test_no_heavy_key_means_a_plain_join(spark):
     df = spark.range(1000).withColumn("k", F.col("id"))
     assert heavy_keys(df, "k")["k"].tasks == ()
