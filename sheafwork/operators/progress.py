@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +45,12 @@ def totals(states: DataFrame) -> DataFrame:
     )
 
 
+def _ratio(part: str, whole: str) -> Column:
+    return F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double"))
+
+
 def _percent(part: str) -> Column:
-    return F.try_divide(F.col(part).cast("double"), F.col("unique_ids").cast("double")) * 100
+    return _ratio(part, "unique_ids") * 100
 
 
 def progress(states: DataFrame) -> DataFrame:
@@ -65,7 +71,7 @@ def catalogue_stats(states: DataFrame) -> DataFrame:
     return totals(states).select(
         "total_rows",
         "unique_ids",
-        F.try_divide(F.col("total_rows").cast("double"), F.col("unique_ids").cast("double")).alias("avg_urls"),
+        _ratio("total_rows", "unique_ids").alias("avg_urls"),
     )
 
 
@@ -106,101 +112,121 @@ def extra_ids(evidence: DataFrame) -> DataFrame:
     )
 
 
-# Layout of the report.
-_RULE, _SHORT_RULE = "=" * 70, "-" * 35
-_DONE_FILE, _FAILED_FILE, _CATALOGUE_FILE = "processed_ids.txt", "failed_ids.txt", "multimedia.txt"
-_NOTES = (
-    "- Each gbifID may reference multiple image URLs",
-    "- The script downloads ONE image per gbifID (trying all URLs until one succeeds)",
-    "- 'Processed' means we successfully downloaded at least one image for that ID",
-    "- 'Failed' means all image URLs for that ID failed to download",
-)
-
-
-def _grouped(value: Column | str) -> Column:
-    return F.format_number(F.col(value) if isinstance(value, str) else value, 0)
-
-
-def _two_places(value: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f", value), F.lit("n/a"))
-
-
-def _line(label: str, value: Column, tail: str = "", width: int = 41) -> Column:
-    return F.concat(F.lit(label.ljust(width)), value, F.lit(tail))
-
-
-def _heading(title: str) -> list[Column]:
-    return [F.lit(_RULE), F.lit(title), F.lit(_RULE)]
-
-
-def report_name(run_time: Column) -> Column:
-    return F.concat(F.lit("summary_"), F.date_format(run_time, "yyyyMMddHHmm"), F.lit(".txt"))
+# Text of the report. Names in braces are filled in.
+RULE, SHORT_RULE = "=" * 70, "-" * 35
+REPORT_NAME = "summary_{minute}.txt"
+REPORT_START = """\
+Run date: {run_date}
+
+{rule}
+Image Installation Progress Analysis
+{rule}
+
+Loading processed and failed IDs...
+  Status directory: {status_dir}
+  processed_ids.txt: {status_dir}/processed_ids.txt
+  failed_ids.txt: {status_dir}/failed_ids.txt
+  Processed IDs loaded: {listed_done}
+  Failed IDs loaded: {listed_failed}
+
+Loading multimedia.txt (this may take a moment)...
+  Total rows in multimedia.txt: {total_rows}
+
+{rule}
+OVERALL STATISTICS
+{rule}
+Total unique gbifIDs in multimedia.txt:  {unique_ids}
+Total image URLs in multimedia.txt:      {total_rows}
+Average images per gbifID:               {avg_urls}
+
+{rule}
+INSTALLATION PROGRESS
+{rule}
+Successfully processed:                  {processed}
+Failed:                                  {failed}
+Total attempted (processed + failed):    {attempted}
+Remaining (not yet attempted):           {remaining}
+
+Progress:                                {pct_processed}%
+Failed:                                  {pct_failed}%
+Remaining:                               {pct_remaining}%
+
+{rule}
+IMAGES PER GBIFID DISTRIBUTION
+{rule}
+Number of images | Count of gbifIDs
+{short_rule}"""
+REPORT_SPREAD = "%16d | {id_count}"
+REPORT_MIDDLE = """\
+
+{rule}
+IMAGE URL ANALYSIS
+{rule}
+Image URLs for processed gbifIDs:        {urls_processed}
+Image URLs for failed gbifIDs:           {urls_failed}
+Image URLs for remaining gbifIDs:        {urls_remaining}
+Total:                                   {urls_total}
+
+{rule}
+NOTES
+{rule}
+- Each gbifID may reference multiple image URLs
+- The script downloads ONE image per gbifID (trying all URLs until one succeeds)
+- 'Processed' means we successfully downloaded at least one image for that ID
+- 'Failed' means all image URLs for that ID failed to download
+"""
+REPORT_WARNING = """\
+{rule}
+WARNINGS
+{rule}"""
+REPORT_EXTRA_DONE = "⚠️  {extra_processed} IDs in processed_ids.txt not found in multimedia.txt"
+REPORT_EXTRA_FAILED = "⚠️  {extra_failed} IDs in failed_ids.txt not found in multimedia.txt"
+REPORT_END = """\
+{rule}
+Summary written to: {report_path}
+{rule}"""
+
+
+def _filled(text: str, values: dict[str, Column]) -> list[Column]:
+    """One column per line of ``text``, names in braces replaced by their columns."""
+    lines = []
+    for line in text.split("\n"):
+        pieces = []
+        for literal, name, _, _ in Formatter().parse(line):
+            pieces += [F.lit(literal)] if literal else []
+            pieces += [values[name]] if name else []
+        lines.append(F.concat(*pieces) if pieces else F.lit(""))
+    return lines
 
 
 def report_lines(states: DataFrame, run_time: str, status_dir: str, output_dir: str) -> DataFrame:
     """The report as ``line_no, line``; ``run_time`` is ``yyyy-MM-dd HH:mm:ss`` text."""
-    at = F.to_timestamp(F.lit(run_time)) if run_time else F.current_timestamp()
-    gap = F.lit("")
-    warn = lambda n, file: F.when(
-        F.col(n) > 0, F.concat(F.lit("⚠️  "), _grouped(n), F.lit(f" IDs in {file} not found in {_CATALOGUE_FILE}"))
-    )
-    any_extra = (F.col("extra_processed") > 0) | (F.col("extra_failed") > 0)
-    before = [
-        F.concat(F.lit("Run date: "), F.date_format(at, "yyyy-MM-dd HH:mm:ss")),
-        gap,
-        *_heading("Image Installation Progress Analysis"),
-        gap,
-        F.lit("Loading processed and failed IDs..."),
-        F.lit(f"  Status directory: {status_dir}"),
-        F.lit(f"  {_DONE_FILE}: {status_dir}/{_DONE_FILE}"),
-        F.lit(f"  {_FAILED_FILE}: {status_dir}/{_FAILED_FILE}"),
-        _line("  Processed IDs loaded: ", _grouped("listed_done"), width=0),
-        _line("  Failed IDs loaded: ", _grouped("listed_failed"), width=0),
-        gap,
-        F.lit(f"Loading {_CATALOGUE_FILE} (this may take a moment)..."),
-        _line(f"  Total rows in {_CATALOGUE_FILE}: ", _grouped("total_rows"), width=0),
-        gap,
-        *_heading("OVERALL STATISTICS"),
-        _line(f"Total unique gbifIDs in {_CATALOGUE_FILE}:", _grouped("unique_ids")),
-        _line(f"Total image URLs in {_CATALOGUE_FILE}:", _grouped("total_rows")),
-        _line(
-            "Average images per gbifID:",
-            _two_places(F.try_divide(F.col("total_rows").cast("double"), F.col("unique_ids").cast("double"))),
-        ),
-        gap,
-        *_heading("INSTALLATION PROGRESS"),
-        _line("Successfully processed:", _grouped("processed")),
-        _line("Failed:", _grouped("failed")),
-        _line("Total attempted (processed + failed):", _grouped(F.col("processed") + F.col("failed"))),
-        _line("Remaining (not yet attempted):", _grouped("remaining")),
-        gap,
-        _line("Progress:", _two_places(_percent("processed")), "%"),
-        _line("Failed:", _two_places(_percent("failed")), "%"),
-        _line("Remaining:", _two_places(_percent("remaining")), "%"),
-        gap,
-        *_heading("IMAGES PER GBIFID DISTRIBUTION"),
-        F.lit("Number of images | Count of gbifIDs"),
-        F.lit(_SHORT_RULE),
-    ]
+    at = F.to_timestamp(F.lit(run_time))
+    count = lambda c: F.format_number(c, 0)
+    two_places = lambda c: F.coalesce(F.format_string("%.2f", c), F.lit("n/a"))
+    figures = totals(states)
     url_total = F.col("urls_processed") + F.col("urls_failed") + F.col("urls_remaining")
-    after = [
-        gap,
-        *_heading("IMAGE URL ANALYSIS"),
-        _line("Image URLs for processed gbifIDs:", _grouped("urls_processed")),
-        _line("Image URLs for failed gbifIDs:", _grouped("urls_failed")),
-        _line("Image URLs for remaining gbifIDs:", _grouped("urls_remaining")),
-        _line("Total:", _grouped(url_total)),
-        gap,
-        *_heading("NOTES"),
-        *[F.lit(n) for n in _NOTES],
-        gap,
-        *[F.when(any_extra, c) for c in _heading("WARNINGS")],
-        warn("extra_processed", _DONE_FILE),
-        warn("extra_failed", _FAILED_FILE),
-        F.when(any_extra, gap),
-        F.lit(_RULE),
-        F.concat(F.lit(f"Summary written to: {output_dir}/"), report_name(at)),
-        F.lit(_RULE),
+    values = {name: count(F.col(name)) for name in figures.columns} | {
+        "rule": F.lit(RULE),
+        "short_rule": F.lit(SHORT_RULE),
+        "status_dir": F.lit(status_dir),
+        "run_date": F.date_format(at, "yyyy-MM-dd HH:mm:ss"),
+        "minute": F.date_format(at, "yyyyMMddHHmm"),
+        "avg_urls": two_places(_ratio("total_rows", "unique_ids")),
+        "attempted": count(F.col("processed") + F.col("failed")),
+        "urls_total": count(url_total),
+        **{f"pct_{part}": two_places(_percent(part)) for part in ("processed", "failed", "remaining")},
+    }
+    values["report_path"] = F.concat(F.lit(f"{output_dir}/"), *_filled(REPORT_NAME, values))
+    extra_done, extra_failed = F.col("extra_processed") > 0, F.col("extra_failed") > 0
+    warned = extra_done | extra_failed
+    rest = [
+        *_filled(REPORT_MIDDLE, values),
+        *[F.when(warned, line) for line in _filled(REPORT_WARNING, values)],
+        *[F.when(extra_done, line) for line in _filled(REPORT_EXTRA_DONE, values)],
+        *[F.when(extra_failed, line) for line in _filled(REPORT_EXTRA_FAILED, values)],
+        F.when(warned, F.lit("")),
+        *_filled(REPORT_END, values),
     ]
 
     def numbered(lines: list[Column], section: int) -> list[Column]:
@@ -209,11 +235,11 @@ def report_lines(states: DataFrame, run_time: str, status_dir: str, output_dir:
             for i, line in enumerate(lines)
         ]
 
-    fixed = totals(states).select(F.inline(F.array(*numbered(before, 0), *numbered(after, 2))))
+    fixed = figures.select(F.inline(F.array(*numbered(_filled(REPORT_START, values), 0), *numbered(rest, 2))))
+    width, tail = REPORT_SPREAD.split(" ", 1)
+    spread_line = F.concat(F.format_string(width + " ", "num_images"), *_filled(tail, {"id_count": count(F.col("id_count"))}))
     spread = distribution(states).select(
-        F.lit(1).alias("section"),
-        F.col("num_images").alias("pos"),
-        F.concat(F.format_string("%16d", "num_images"), F.lit(" | "), _grouped("id_count")).alias("line"),
+        F.lit(1).alias("section"), F.col("num_images").alias("pos"), spread_line.alias("line")
     )
     # The report itself: some sixty lines and one per list length.
     in_order = Window.orderBy("section", "pos")

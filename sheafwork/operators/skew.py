@@ -48,7 +48,7 @@ def heavy_keys(df: DataFrame, *keys: str) -> dict[str, Heavy]:
 
 def is_broadcast(dimension: DataFrame) -> bool:
     """Whether Spark will broadcast this side by its estimated size; its join then has no exchange."""
-    limit = int(dimension.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b"))
+    limit = dimension.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = dimension._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= limit
 

@@ -9,7 +9,7 @@ import pytest
 
 from sheafwork.operators import ordered
 from sheafwork.operators.candidates import ordered_candidates
-from sheafwork.operators.skew import Heavy, heavy_keys, spread_join
+from sheafwork.operators.skew import Heavy, heavy_for, heavy_keys, is_broadcast, spread_join
 from pyspark.sql import functions as F
 
 SCHEMA = "k string, t bigint, i bigint, e int, v bigint"
@@ -119,6 +119,18 @@ def test_a_pile_of_copies_is_ordered_whole(many_chunks, tmp_path):
     assert [r["candidate_url"] for r in sorted(got, key=lambda r: r["pos"]) if r["gbif_id"] == 7] == [u for _, u in by_mix]
 
 
+@pytest.mark.parametrize(("limit", "sent"), [("10MB", True), ("-1", False)])
+def test_size_decides_on_a_broadcast(spark, limit, sent):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, limit)
+    try:
+        df = spark.createDataFrame([("hot", 1)], "k string, n int")
+        assert is_broadcast(df) is sent
+        assert heavy_for(df.union(df), {"k": df})["k"].tasks == (() if sent else (("hot", 8),))
+    finally:
+        spark.conf.unset(name)
+
+
 def test_no_heavy_key_means_a_plain_join(spark):
     df = spark.range(1000).withColumn("k", F.col("id"))
     assert heavy_keys(df, "k")["k"].tasks == ()
