@@ -124,7 +124,7 @@ def test_size_decides_on_a_broadcast(spark, limit, sent):
     name = "spark.sql.autoBroadcastJoinThreshold"
     spark.conf.set(name, limit)
     try:
-        df = spark.createDataFrame([("hot", 1)], "k string, n int")
+        df = spark.sql("SELECT 'hot' AS k, 1 AS n")
         assert is_broadcast(df) is sent
         assert heavy_for(df.union(df), {"k": df})["k"].tasks == (() if sent else (("hot", 8),))
     finally:
