@@ -9,7 +9,6 @@ from pathlib import Path
 import numpy as np
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from sheafwork.operators.images import flatten_alpha, flattened, lanczos_weights, resample, resized
 from sheafwork.plans import acquire, image_jobs, link_check, progress_report, training_set
