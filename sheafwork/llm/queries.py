@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding
+from . import bpe, langid, mixing, quality, sharding
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -21,11 +22,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ranks_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(RANKS)
+
+
 @query
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = langid.train(docs.filter(~fold))
+    found = langid.identified(docs.select("doc_id", "text", fold.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encoded(table(spark, sf_dir, "documents"), ranks_path())
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")

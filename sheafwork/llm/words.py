@@ -14,7 +14,7 @@ WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 SEPARATOR_PATTERN = "[\\x20\\x09-\\x0D]+"
 
 _U = np.uint64
-_SEPARATOR = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
+SEPARATOR = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
@@ -43,7 +43,7 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """First byte and the byte after the last of every word, in order."""
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    inside = ~_SEPARATOR[data]
+    inside = ~SEPARATOR[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     before = np.empty(len(data), bool)
@@ -91,3 +91,14 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         h = mix(h * _U(0x100000001B3) + words[k : k + count])
     return h
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 22):
+    """Consecutive parts of a batch whose texts hold ``most`` bytes each, or one longer text."""
+    _, offsets = text_bytes(batch.column(column))
+    row = 0
+    while row < batch.num_rows:
+        end = int(np.searchsorted(offsets, offsets[row] + most, side="right")) - 1
+        end = min(max(end, row + 1), batch.num_rows)
+        yield batch.slice(row, end - row)
+        row = end
