@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality, sharding
+from . import bpe, kneser_ney, langid, mixing, quality, sharding
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,14 @@ def op9_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "source",
     )
+
+
+@query
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    model = kneser_ney.train(docs.filter(~fold))
+    found = kneser_ney.scored(docs.withColumn("held_out", fold), model)
+    return found.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
