@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, kneser_ney, langid, mixing, quality, sharding
+from . import bpe, kneser_ney, langid, mixing, quality, sharding, topk
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_norm_bucketed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
