@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, kneser_ney, langid, mixing, quality, sharding, topk
+from . import bpe, kneser_ney, langid, mixing, ngram_join, quality, sharding, topk
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
