@@ -102,7 +102,7 @@ def with_copies(docs: DataFrame, seed: str = SEED, **targets) -> DataFrame:
 
 def mixed(docs: DataFrame, seed: str = SEED, **targets) -> DataFrame:
     """The mixture itself: every document as often as it is taken, with the columns of ``docs``."""
-    repeated = with_copies(docs, seed, **targets).withColumn(
-        "_copy", F.explode(F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies"))))
-    )
-    return repeated.select(*docs.columns)
+    packed = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_row"))
+    times = F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies")))
+    repeated = with_copies(packed, seed, **targets).select("_row", F.explode(times).alias("_copy"))
+    return repeated.select("_row.*")

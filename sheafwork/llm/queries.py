@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, kneser_ney, langid, mixing, ngram_join, quality, sharding, suffix_dedup, topk
+from . import bpe, chunk_dedup, kneser_ney, langid, mixing, ngram_join, quality, sharding, suffix_dedup, topk
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,20 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_content_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunk_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    span = found.select("doc_id", F.explode("spans").alias("span"))
+    start, end = F.col("span.start"), F.col("span.end")
+    return span.select(
+        "doc_id",
+        start.alias("start_byte"),
+        end.alias("end_byte"),
+        (end - start).alias("n_bytes"),
+        F.col("span.first_doc_id").alias("first_doc_id"),
+    )
+
+
 @query
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
