@@ -121,6 +121,5 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
     model = kneser_ney.train(docs.filter(~fold))
     found = kneser_ney.scored(docs.withColumn("held_out", fold), model)
-    return found.select(
-        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
-    )
+    rounded = {name: F.round(name, 6) for name in ("base_score", "score")}
+    return found.withColumns(rounded).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", *rounded)

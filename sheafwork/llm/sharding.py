@@ -61,7 +61,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFram
         "source",
         text_size(F.col("text")).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(keyed).alias("_shuffle"),
+        F.md5(keyed.cast("binary")).alias("_shuffle"),
     )
     ranked = source_ranks(narrow).withColumn("_fraction", (F.col("_rank") - 0.5) / F.col("_of"))
     placed = exact_rank(ranked, ("_fraction", "source", "_rank"), "_place").withColumn("_n", F.lit(docs.count()))
