@@ -36,9 +36,9 @@ from .packed import from_planes, map_array, pack, part_bits, planes, summed, unp
 from .words import batch_words, mix, slices
 
 # Word numbers per file of per-word values.
-RANGE = 1 << 18
+RANGE = 1 << 16
 # Keys a task gathers before it sends what it has; bounds its memory, not the result.
-GATHERED = 3_000_000
+GATHERED = 2_000_000
 # Bytes of texts worked on at once.
 SLICE = 1 << 21
 # Stands for the end of a text.
@@ -233,11 +233,11 @@ def train(docs: DataFrame) -> Model:
 
     def gather(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        keys = np.concatenate([unpack(k) for k in table.column("keys").to_pylist()])
-        dense = {}
-        for name in ("sums", "ones", "twos", "more", "befores"):
-            values = np.concatenate([from_planes(v, np.int64) for v in table.column(name).to_pylist()])
-            dense[name] = np.bincount((keys - _U(part * RANGE)).astype(np.int64), values, minlength=RANGE).astype(np.int64)
+        dense = {name: np.zeros(RANGE, np.int64) for name in ("sums", "ones", "twos", "more", "befores")}
+        for i, packed in enumerate(table.column("keys")):
+            places = (unpack(packed.as_py()) - _U(part * RANGE)).astype(np.int64)
+            for name, values in dense.items():
+                values[places] += from_planes(table.column(name)[i].as_py(), np.int64)
         write_array(folder, f"context_sums-{part}", dense["sums"])
         write_array(folder, f"context_kinds-{part}", np.stack([dense["ones"], dense["twos"], dense["more"]], axis=1))
         write_array(folder, f"befores-{part}", dense["befores"])

@@ -17,13 +17,16 @@ import pyarrow.fs as pafs
 
 
 def planes(values: np.ndarray) -> bytes:
-    width = values.dtype.itemsize
-    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, width).T.tobytes()
+    """Whole numbers from 0 on, in the narrowest width that holds them, byte plane by byte plane."""
+    narrow = values.astype(np.min_scalar_type(int(values.max(initial=0))))
+    width = narrow.dtype.itemsize
+    return bytes([width]) + np.ascontiguousarray(narrow).view(np.uint8).reshape(-1, width).T.tobytes()
 
 
 def from_planes(data: bytes, dtype) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).ravel()
+    width = data[0]
+    rows = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    return np.ascontiguousarray(rows.T).view(f"<u{width}").ravel().astype(dtype)
 
 
 def pack(keys: np.ndarray) -> bytes:
