@@ -33,6 +33,8 @@ from .words import SEPARATOR, slices, text_bytes
 PER_LANGUAGE = 800
 BUCKETS, DIMENSIONS, SIZES = 1 << 15, 16, (2, 3, 4)
 EPOCHS, BATCH, RATE, SEED = 8, 16, 20.0, 7
+# A small sample is gone through more often, up to as many steps.
+LEAST_STEPS = 1500
 LEAST_PROBABILITY = 0.5
 UNDETERMINED = "und"
 _HASHES = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -110,9 +112,10 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
     embeddings = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights = rng.normal(0, 0.1, (DIMENSIONS, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
-    steps = EPOCHS * max(1, -(-len(taught) // BATCH))
-    step = 0
-    for _ in range(EPOCHS):
+    per_epoch = max(1, -(-len(taught) // BATCH))
+    epochs = max(EPOCHS, -(-LEAST_STEPS // per_epoch))
+    steps, step = epochs * per_epoch, 0
+    for _ in range(epochs):
         rng.shuffle(taught)
         for at in range(0, len(taught), BATCH):
             rate, step = RATE * (1 - step / steps), step + 1
