@@ -45,7 +45,6 @@ SELECT concat(CASE d.r_regionkey WHEN 0 THEN 'flat/' ELSE 'flat/copy/' END,
               CASE o.o_orderkey % 7 WHEN 0 THEN '.jpg' WHEN 1 THEN '.JPEG' WHEN 2 THEN '.png' WHEN 3 THEN '.tif' WHEN 4 THEN '.TIFF' WHEN 5 THEN '.Jpg' ELSE '.txt' END) AS path,
        CASE WHEN o.o_orderkey % 17 = 0 THEN 0 ELSE CAST(floor(o.o_totalprice * 10) AS BIGINT) END AS length
 FROM {orders} o JOIN {region} d ON d.r_regionkey = 0 OR (d.r_regionkey = 1 AND o.o_orderkey % 33 = 0)
-WHERE o.o_orderkey % 3 = 0
 """,
     "store_files": r"""
 SELECT concat('store/', substring(sid, 1, 3), '/', CASE WHEN length(sid) >= 6 THEN substring(sid, 4, 3) ELSE '000' END, '/', sid, '.jpg') AS path,
@@ -109,13 +108,13 @@ _FILE_ROW = """
 SELECT concat('FOLDER', CASE WHEN o_orderkey % 13 = 0 THEN concat('IMG_', CAST(o_orderkey AS STRING)) ELSE CAST(o_orderkey*37 AS STRING) END,
               CASE o_orderkey % 7 WHEN 0 THEN '.jpg' WHEN 1 THEN '.JPEG' WHEN 2 THEN '.png' WHEN 3 THEN '.tif' WHEN 4 THEN '.TIFF' WHEN 5 THEN '.Jpg' ELSE '.txt' END) AS path,
        CASE WHEN o_orderkey % 17 = 0 THEN 0 ELSE CAST(floor(o_totalprice * 10) AS BIGINT) END AS length
-FROM {orders} WHERE o_orderkey % 3 = 0
+FROM {orders}
 """
 _SPARK_ONLY = {
     "files": _FILE_ROW.replace("FOLDER", "flat/")
     + "UNION ALL"
     + _FILE_ROW.replace("FOLDER", "flat/copy/")
-    + "AND o_orderkey % 33 = 0",
+    + "WHERE o_orderkey % 33 = 0",
     "pixels": """
 SELECT vec_id, transform(embedding, v -> CAST(floor((CAST(v AS DOUBLE) + 1) * 127.5) AS INT)) AS px,
        transform(embedding, v -> CAST(floor(floor((CAST(v AS DOUBLE) + 1) * 127.5) / (1 + vec_id % 9)) * (1 + vec_id % 9) AS INT)) AS px2
