@@ -15,7 +15,11 @@ from ..functions.store import DEFAULT_BOX
 MODES = {1: 0, 3: 16, 4: 24}
 # Fixed value: half-width of the Lanczos window.
 LOBES = 3
+# What ``error`` says of a file that could not be decoded.
+UNREADABLE = "unreadable"
 _WHITE = 255
+# Rows or columns resampled at once.
+_STRIP = 256
 
 
 def flatten_alpha(pixels: np.ndarray) -> np.ndarray:
@@ -44,12 +48,31 @@ def _to_bytes(values: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(values + 0.5), 0, 255).astype(np.uint8)
 
 
+def _taps(weights: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The non-zero weights, one per target and tap: source places and weights."""
+    used = weights != 0
+    first, most = used.argmax(axis=1), int(used.sum(axis=1).max())
+    places = np.minimum(first[:, None] + np.arange(most), weights.shape[1] - 1)
+    fresh = first[:, None] + np.arange(most) < weights.shape[1]
+    taken = np.where(fresh, np.take_along_axis(weights, places, axis=1), 0.0)
+    return [(places[:, k], taken[:, k]) for k in range(most)]
+
+
 def resample(pixels: np.ndarray, width: int, height: int) -> np.ndarray:
-    """Separable Lanczos: rows first, rounded to bytes, then columns."""
-    across = lanczos_weights(pixels.shape[1], width)
-    down = lanczos_weights(pixels.shape[0], height)
-    wide = _to_bytes(np.einsum("tw,hwc->htc", across, pixels.astype(np.float64)))
-    return _to_bytes(np.einsum("th,hwc->twc", down, wide.astype(np.float64)))
+    """Separable Lanczos: rows first, rounded to bytes, then columns; only taps with weight are summed."""
+    across = _taps(lanczos_weights(pixels.shape[1], width))
+    down = _taps(lanczos_weights(pixels.shape[0], height))
+    rows, _, bands = pixels.shape
+    # A strip at a time, so that an image is never held as doubles whole.
+    wide = np.empty((rows, width, bands), np.uint8)
+    for at in range(0, rows, _STRIP):
+        strip = pixels[at : at + _STRIP]
+        wide[at : at + _STRIP] = _to_bytes(sum(strip[:, place] * weight[:, None] for place, weight in across))
+    out = np.empty((height, width, bands), np.uint8)
+    for at in range(0, width, _STRIP):
+        strip = wide[:, at : at + _STRIP]
+        out[:, at : at + _STRIP] = _to_bytes(sum(strip[place] * weight[:, None, None] for place, weight in down))
+    return out
 
 
 def fitted_size(width: int, height: int, box: int) -> tuple[int, int]:
@@ -58,11 +81,14 @@ def fitted_size(width: int, height: int, box: int) -> tuple[int, int]:
 
 
 def _each_image(images: DataFrame, change: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """Apply ``change`` to each image; an image it fails on keeps its row, without pixels and with ``error``."""
+    """Apply ``change`` to each image; an image it fails on, or that could
+    not be decoded, keeps its row, without pixels and with ``error``."""
     schema = T.StructType([*images.schema.fields, T.StructField("error", T.StringType())])
     changed = ["height", "width", "nChannels", "mode", "data", "error"]
 
     def one(height: int, width: int, bands: int, data: bytes) -> tuple:
+        if height <= 0 or width <= 0:
+            return height, width, bands, -1, None, UNREADABLE
         try:
             out = np.ascontiguousarray(change(np.frombuffer(data, dtype=np.uint8).reshape(height, width, bands)))
             return out.shape[0], out.shape[1], out.shape[2], MODES[out.shape[2]], out.tobytes(), None
@@ -80,13 +106,9 @@ def _each_image(images: DataFrame, change: Callable[[np.ndarray], np.ndarray]) -
     return images.mapInPandas(apply, schema)
 
 
-def readable(images: DataFrame) -> DataFrame:
-    return images.filter("height > 0 AND width > 0")
-
-
 def flattened(images: DataFrame) -> DataFrame:
     """Every image with three bands. Other columns pass through."""
-    return _each_image(readable(images), flatten_alpha)
+    return _each_image(images, flatten_alpha)
 
 
 def resized(images: DataFrame, box: int = DEFAULT_BOX) -> DataFrame:
@@ -99,4 +121,4 @@ def resized(images: DataFrame, box: int = DEFAULT_BOX) -> DataFrame:
             return plain
         return resample(plain, max(width, 1), max(height, 1))
 
-    return _each_image(readable(images), shrink)
+    return _each_image(images, shrink)

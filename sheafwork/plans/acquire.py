@@ -18,7 +18,7 @@ from ..operators.evidence import id_evidence
 from ..operators.install import duplicate_removals, planned
 from ..sinks.checkpoint import append_ids
 from ..sources.idlist import read_lines
-from ..sources.listing import list_files
+from ..sources.listing import list_files, resolved
 from ..sources.tsv import read_catalogue, read_catalogue_strict
 from ..staging import staged
 
@@ -43,13 +43,15 @@ def read_inputs(
     prior_paths: list[str] | None = None,
     country: str | None = None,
 ) -> Inputs:
+    # The listing gives this form of the path, and evidence compares it.
+    place = resolved(store)
     return Inputs(
         catalogue=only_country(read_catalogue(spark, catalogue_path), country),
         done=read_lines(spark, f"{status_dir}/{DONE_LIST}"),
         failed=read_lines(spark, f"{status_dir}/{FAILED_LIST}"),
         prior=[read_catalogue_strict(spark, p, ["gbifID"]) for p in prior_paths or []],
-        inventory=list_files(spark, store),
-        store=store,
+        inventory=list_files(spark, place),
+        store=place,
     )
 
 

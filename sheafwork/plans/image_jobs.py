@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,17 +10,28 @@ from ..functions.store import DEFAULT_BOX, resize_gate, stem_of
 from ..operators.images import resized
 from ..operators.layout import action_counts, gate_counts, reorganise_plan
 from ..operators.quality import with_psnr
-from ..sources.images import plain_path, read_images
-from ..sources.listing import list_files, list_flat
+from ..sources.images import read_large_images
+from ..sources.listing import list_files, list_flat, resolved
 from ..staging import staged
 
 
 def resize_folder(spark: SparkSession, folder: str, target: str, box: int = DEFAULT_BOX) -> DataFrame:
-    """Shrink the large images of a flat folder into Parquet at ``target``; gives the gate counts."""
-    listing = staged(list_flat(spark, folder), "listing")
-    large = listing.filter(resize_gate(F.col("length")) == "resize").select("path")
-    images = read_images(spark, folder).withColumn("path", plain_path(F.col("origin")))
-    resized(images.join(large, "path", "left_semi"), box).write.mode("append").parquet(target)
+    """Shrink the large images of a flat folder into Parquet at ``target``; gives the gate counts.
+
+    The gate is asked of the file's size, so no image meets a listing, and one that can't be decoded
+    comes out with its ``error``. Images ``target`` already holds are left out, so a job that runs
+    again adds nothing twice.
+    """
+    place = resolved(folder)
+    listing = staged(list_flat(spark, place), "listing")
+    large = read_large_images(spark, place, lambda size: resize_gate(size) == "resize")
+    try:
+        done = spark.read.parquet(target).select("origin").distinct()
+        large = large.join(done, "origin", "left_anti")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    resized(large, box).write.mode("append").parquet(target)
     return gate_counts(listing)
 
 

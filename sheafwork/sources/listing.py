@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyarrow import fs
@@ -69,13 +70,20 @@ def _open_folders(entries: DataFrame, recursive: bool) -> DataFrame:
     return entries.repartition(spread, "path").mapInPandas(expand, _ENTRY)
 
 
+def resolved(folder: str) -> str:
+    """One form of a folder for listing, image origins and stores: local ones as absolute paths."""
+    if folder.startswith("file:"):
+        return "/" + unquote(folder[len("file:") :]).strip("/")
+    return folder.rstrip("/") if "://" in folder else os.path.abspath(folder)
+
+
 def list_files(spark: SparkSession, folder: str, levels: int = 2) -> DataFrame:
     """Every file below ``folder`` as ``path, length``, empty files included.
 
     ``levels`` folder levels are spread over tasks before the trees below them are walked; two
     match the store layout.
     """
-    entries = spark.createDataFrame([(folder.rstrip("/"), True, None)], _ENTRY)
+    entries = spark.createDataFrame([(resolved(folder), True, None)], _ENTRY)
     for _ in range(levels):
         entries = _open_folders(entries, recursive=False)
     return _open_folders(entries, recursive=True).select(*INVENTORY.fieldNames())
@@ -83,5 +91,5 @@ def list_files(spark: SparkSession, folder: str, levels: int = 2) -> DataFrame:
 
 def list_flat(spark: SparkSession, folder: str) -> DataFrame:
     """The files directly in ``folder``."""
-    entries = spark.createDataFrame([(folder.rstrip("/"), True, None)], _ENTRY)
+    entries = spark.createDataFrame([(resolved(folder), True, None)], _ENTRY)
     return _open_folders(entries, recursive=False).filter(~F.col("is_dir")).select(*INVENTORY.fieldNames())

@@ -20,7 +20,7 @@ from sheafwork.sinks.store import read_store, write_store
 from sheafwork.sources import bundle
 from sheafwork.sources.idlist import read_id_set
 from sheafwork.sources.images import read_images, scan_report
-from sheafwork.sources.listing import list_files, list_flat
+from sheafwork.sources.listing import list_files, list_flat, resolved
 from sheafwork.sources.tsv import MissingColumns, read_catalogue, read_catalogue_strict
 
 
@@ -145,6 +145,9 @@ def test_image_scan_and_flatten(spark, tmp_path):
     assert report == {"rgb.png": (6, True), "rgba.png": (6, True), "grey.png": (6, True), "bad.png": (-1, False), "empty.png": (None, False)}
     for row in flattened(images).collect():
         name = row["origin"].rsplit("/", 1)[1]
+        if name == "bad.png":
+            assert (row["error"], row["data"]) == ("unreadable", None)
+            continue
         expected = flatten_alpha(pictures()[name])
         assert (row["nChannels"], row["mode"]) == (3, 16)
         assert bytes(row["data"]) == expected.tobytes()
@@ -208,6 +211,33 @@ def test_resize_folder_only_takes_large_files(spark, tmp_path):
     assert [(r["width"], r["height"], r["nChannels"]) for r in out] == [(100, 90, 3)]
 
 
+def test_resize_folder_keeps_broken_files_and_can_run_again(spark, tmp_path):
+    noise = np.random.default_rng(1).integers(0, 256, (900, 1000, 3), dtype=np.uint8)
+    write(tmp_path / "f" / "large.png", png_bytes(noise))
+    write(tmp_path / "f" / "broken.png", bytes(noise)[:2_500_000])
+    for folder in (f"file://{tmp_path}/f", str(tmp_path / "f") + "/"):
+        gates = rows(image_jobs.resize_folder(spark, folder, str(tmp_path / "out"), box=100))
+        assert gates == [("resize", 2)]
+        out = {r["origin"].rsplit("/", 1)[1]: (r["width"], r["error"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+        assert out == {"large.png": (100, None), "broken.png": (-1, "unreadable")}
+        assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_a_photograph_is_resampled_in_seconds():
+    import time
+
+    pixels = np.random.default_rng(0).integers(0, 256, (2000, 3000, 3), dtype=np.uint8)
+    started = time.perf_counter()
+    assert resample(pixels, 1024, 683).shape == (683, 1024, 3)
+    assert time.perf_counter() - started < 10
+
+
+def test_one_form_of_a_path(tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    assert resolved("a/") == resolved(f"file://{tmp_path}/a") == resolved(str(tmp_path / "a")) == str(tmp_path / "a")
+    assert resolved("s3://bucket/x/") == "s3://bucket/x"
+
+
 def test_reorganise_folder(spark, tmp_path):
     for name in ("1234567.jpg", "sub/1234567.jpg", "note.txt", "IMG.png"):
         write(tmp_path / "flat" / name, b"x")
