@@ -16,8 +16,12 @@ DENIED_TYPES = ("text/html", "text/plain", "application/xml")
 # Fixed value: the one content type the link check takes as valid.
 LINK_CHECK_TYPE = "image/jpeg"
 
-# Waits are cut to this many seconds (190 years), so that micros stay exact in a double too.
-LONGEST_WAIT = 6 * 10**9
+# Never again: end times are micros in 64 bits, and no wait can be longer than this many seconds.
+LONGEST_WAIT = 9 * 10**12
+# The forms of a date, behind a weekday, with a name or an offset as zone.
+DATE_FORMS = tuple(
+    f"{day} {time} {zone}" for day in ("d MMM yy", "d MMM yyyy") for time in ("HH:mm:ss", "HH:mm") for zone in ("z", "xx")
+)
 MICROS = 1_000_000
 
 ACCEPTED = ("ok", "ok_untyped")
@@ -62,13 +66,15 @@ def epoch_micros(df: DataFrame, name: str) -> Column:
 def cooldown_micros(outcome_col: Column, retry_after: Column, ts_us: Column) -> Column:
     """Micros a host has to rest after this attempt, null when the attempt asks for no rest.
 
-    A rate limit names whole seconds or an HTTP date; anything else means the default. A timeout
-    always means its own default.
+    A rate limit names whole seconds or an HTTP date; anything else means the default. Whole numbers
+    beyond 64 bits mean never again. A timeout always means its own default.
     """
-    seconds = retry_after.try_cast("bigint")
+    text = F.trim(retry_after)
+    beyond = F.when(text.rlike("^[+]?[0-9]+$"), LONGEST_WAIT).when(text.rlike("^-[0-9]+$"), -LONGEST_WAIT)
+    seconds = F.coalesce(retry_after.try_cast("bigint"), beyond.cast("bigint"))
     # The weekday is taken off first: its pattern letter is refused by the Spark 3+ parser.
-    date_text = F.regexp_replace(retry_after, r"^\s*[A-Za-z]{3,9},\s*", "")
-    date_us = F.unix_micros(F.try_to_timestamp(date_text, F.lit("d MMM yyyy HH:mm:ss z")))
+    plain = F.regexp_replace(F.regexp_replace(retry_after, r"^\s*[A-Za-z]{3,9},\s*", ""), r"^(\d+)-([A-Za-z]+)-(\d+)", "$1 $2 $3")
+    date_us = F.unix_micros(F.coalesce(*[F.try_to_timestamp(plain, F.lit(form)) for form in DATE_FORMS]))
     longest = F.lit(LONGEST_WAIT)
     # least and greatest pass over nulls, so each is asked only when its column is there.
     named = (

@@ -74,6 +74,11 @@ def test_outcome(spark, status, error, kind, expected):
         ("rate_limit", "", 1800),
         ("rate_limit", None, 1800),
         ("rate_limit", "12.5", 1800),
+        ("rate_limit", "9000000000", 9 * 10**9),
+        ("rate_limit", "99999999999999999999", http.LONGEST_WAIT),
+        ("rate_limit", "Mon, 01 Jan 2024 01:02:00 +0100", 120),
+        ("rate_limit", "Monday, 01-Jan-24 00:02:00 GMT", 120),
+        ("rate_limit", "Mon, 01 Jan 2024 00:02 GMT", 120),
         ("timeout", "120", 3600),
         ("server_error", "120", None),
     ],
