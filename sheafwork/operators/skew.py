@@ -14,10 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy from this share of the rows on, so there are never more than 1,000 of them.
-SMALLEST_SHARE = 0.001
-_LISTED = int(1 / SMALLEST_SHARE)
-_TRACKED = 1 << 14
+# Items the sketch tracks for each key it may list, and at least; a million is the sketch's own limit.
+_TRACKED_EACH, _TRACKED_LEAST, _TRACKED_MOST = 16, 1 << 14, 1_000_000
 _SPREAD = "_spread"
 
 
@@ -32,12 +30,15 @@ class Heavy:
 def heavy_keys(df: DataFrame, *keys: str) -> dict[str, Heavy]:
     """Heavy keys of each column, found in one scan of these columns.
 
-    A key is heavy when it would fill two average partitions or more. The sketch may be off by a
-    few hundredths of a percent, which changes how rows are spread, never the result.
+    A key is heavy when it would fill two average partitions or more, so there are at most half as many
+    as partitions. The sketch may be off by a little, which changes how rows are spread, never the
+    result.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(SMALLEST_SHARE, min(0.2, 2.0 / partitions))
-    sketches = [F.expr(f"approx_top_k(`{k}`, {_LISTED}, {_TRACKED})").alias(k) for k in keys]
+    share = min(0.2, 2.0 / partitions)
+    listed = math.ceil(1 / share)
+    tracked = min(_TRACKED_MOST, max(_TRACKED_LEAST, _TRACKED_EACH * listed))
+    sketches = [F.expr(f"approx_top_k(`{k}`, {listed}, {tracked})").alias(k) for k in keys]
     row = df.agg(F.count("*").alias("_rows"), *sketches).first()
     found = {}
     for k in keys:
@@ -79,7 +80,7 @@ def spread_join(
         return facts.join(dimension, key, how)
     kind = dimension.schema[key].dataType.simpleString()
     tasks = facts.sparkSession.createDataFrame(list(heavy.tasks), f"`{key}` {kind}, _tasks int")
-    # At most 1,000 rows.
+    # At most half as many rows as there are partitions.
     listed = F.broadcast(tasks)
     n = F.coalesce("_tasks", F.lit(1))
     left = facts.join(listed, key, "left").withColumn(_SPREAD, F.pmod(F.xxhash64(by), n).cast("int")).drop("_tasks")

@@ -2,8 +2,8 @@
 
 Rows are ordered by a hash of their id; the smallest fifth is the validation part. Instead of
 ranking all rows, the hash value at the cut is found: rows are counted by hash prefix, the prefix
-that holds the cut is picked from that small table, and only the rows with that prefix are ranked.
-The split itself is then a comparison and needs no exchange.
+that holds the cut is picked from that small table, and so on inside the prefix until it holds few rows,
+which are ranked. The split itself is then a comparison and needs no exchange.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 # Share of the validation part and the seed.
 VALIDATION_SHARE = 0.2
 SEED = "42"
-# Hash digits counted on: 16 ** 4 prefixes bound the counting table.
+# Hash digits counted on at a time: 16 ** 4 prefixes bound the counting table.
 _DIGITS = 4
+# Rows of one prefix that are ranked; a prefix with more is looked into by its next digits.
+_RANKED = 100_000
 
 
 def split_key(row_id: Column, seed: str = SEED) -> Column:
@@ -23,23 +25,30 @@ def split_key(row_id: Column, seed: str = SEED) -> Column:
 
 
 def cut_key(rows: DataFrame, row_id: str = "id", share: float = VALIDATION_SHARE, seed: str = SEED) -> DataFrame:
-    """One row, ``cut``: the greatest hash that belongs to the validation part."""
-    keys = rows.select(split_key(F.col(row_id), seed).alias("key")).withColumn("prefix", F.substring("key", 1, _DIGITS))
-    whole = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    through = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = (
-        keys.groupBy("prefix")
-        .agg(F.count("*").alias("n"))
-        .select("prefix", "n", F.sum("n").over(through).alias("upto"), F.sum("n").over(whole).alias("total"))
-        .withColumn("wanted", F.ceil(F.col("total").cast("double") * F.lit(share).cast("double")))
-    )
-    holds_cut = counted.filter(
-        (F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted"))
-    ).select("prefix", (F.col("wanted") - F.col("upto") + F.col("n")).alias("place"))
-    # The one prefix that holds the cut: a single row.
-    near = keys.join(F.broadcast(holds_cut), "prefix")
-    ranked = near.withColumn("at", F.row_number().over(Window.partitionBy("prefix").orderBy("key")))
-    return ranked.filter(F.col("at") == F.col("place")).select(F.col("key").alias("cut"))
+    """One row, ``cut``: the greatest hash that belongs to the validation part; none of no rows."""
+    keys = rows.select(split_key(F.col(row_id), seed).alias("key")).filter(F.col("key").isNotNull())
+    near, digits, place = keys, _DIGITS, None
+    while True:
+        through = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        counted = (
+            near.groupBy(F.substring("key", 1, digits).alias("prefix"))
+            .agg(F.count("*").alias("n"))
+            .select("prefix", "n", F.sum("n").over(through).alias("upto"), F.sum("n").over(whole).alias("total"))
+        )
+        share_of = F.ceil(F.col("total").cast("double") * F.lit(share).cast("double"))
+        wanted = share_of if place is None else F.lit(place)
+        held = counted.filter((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted))
+        row = held.select("prefix", "n", (wanted - F.col("upto") + F.col("n")).alias("place")).first()
+        if row is None:
+            return keys.limit(0).select(F.col("key").alias("cut"))
+        near, place = near.filter(F.col("key").startswith(row["prefix"])), row["place"]
+        if row["n"] <= _RANKED or digits >= 32:
+            # A full hash held by many rows is one value, whatever its rank.
+            few = near.limit(1) if digits >= 32 else near
+            at = F.lit(place) if digits >= 32 else F.row_number().over(Window.orderBy("key"))
+            return few.withColumn("at", at).filter(F.col("at") == place).select(F.col("key").alias("cut"))
+        digits += _DIGITS
 
 
 def with_split(

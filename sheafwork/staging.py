@@ -6,6 +6,7 @@ a folder of its own, because a machine-local folder would be lost with its execu
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,7 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     active = context.getCheckpointDir()
     if not (named or active):
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="sheafwork-")
     if not active:

@@ -64,6 +64,13 @@ def test_split_has_the_exact_size_and_repeats(spark, n):
     assert sum(s == "val" for s in first.values()) == math.ceil(0.2 * n)
 
 
+def test_split_looks_into_prefixes_that_hold_many_rows(spark, monkeypatch):
+    whole = sorted(r["id"] for r in split.with_split(spark.range(3000)).filter("split = 'val'").collect())
+    monkeypatch.setattr(split, "_DIGITS", 1)
+    monkeypatch.setattr(split, "_RANKED", 2)
+    assert whole == sorted(r["id"] for r in split.with_split(spark.range(3000)).filter("split = 'val'").collect())
+
+
 def test_split_plan_shuffles_no_rows(spark):
     plan = split.with_split(spark.range(100))._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan.split("scalar-subquery")[0]

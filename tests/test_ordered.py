@@ -141,3 +141,14 @@ def test_empty_input(many_chunks):
     assert ordered.running_count(empty, "k", ["t", "i"], "e", "n").count() == 0
     assert ordered.chunked_count(empty, "k", ["t", "i"], "e", "n").count() == 0
     assert ordered.exact_rank(empty, ["t", "i"], "n").count() == 0
+
+
+def test_keys_of_a_thousandth_are_spread_when_partitions_are_many(spark):
+    rows = spark.range(200_000).select(F.when(F.col("id") < 180, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "10000")
+    try:
+        found = heavy_keys(rows, "k")["k"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert dict(found.tasks).get("hot", 0) >= 2
