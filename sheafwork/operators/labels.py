@@ -77,9 +77,10 @@ def key_violations(annotations: DataFrame, dimensions: dict[str, tuple[str, Data
     """Annotation rows without a partner, per dimension.
 
     ``dimensions`` maps a name to the key column (of both sides) and the dimension. All keys are
-    read in one scan and counted before they meet the dimensions, so a much-used key is one row.
+    read in one scan and counted before they meet the dimensions, so a much-used key is one row. Keys
+    are compared as text, as some bundles name images by text.
     """
-    pairs = ", ".join(f"'{name}', cast({key} as bigint)" for name, (key, _) in dimensions.items())
+    pairs = ", ".join(f"'{name}', cast({key} as string)" for name, (key, _) in dimensions.items())
     used = (
         annotations.selectExpr(f"stack({len(dimensions)}, {pairs}) as (dimension, key)")
         .groupBy("dimension", "key")
@@ -87,7 +88,7 @@ def key_violations(annotations: DataFrame, dimensions: dict[str, tuple[str, Data
     )
     known = None
     for name, (key, df) in dimensions.items():
-        part = df.select(F.lit(name).alias("dimension"), F.col(key).cast("bigint").alias("key")).distinct()
+        part = df.select(F.lit(name).alias("dimension"), F.col(key).cast("string").alias("key")).distinct()
         known = part if known is None else known.unionAll(part)
     found = used.join(known.withColumn("known", F.lit(True)), ["dimension", "key"], "left")
     missing = F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0))

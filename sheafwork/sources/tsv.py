@@ -37,7 +37,9 @@ def read_catalogue(
 ) -> DataFrame:
     """Catalogue columns under our names; a wanted column the file lacks is null throughout.
 
-    ``required`` columns must be there. An id that is no number is read as null.
+    ``required`` columns must be there. An id that is no number is read as null. All files of one read
+    must have the same header; one with other columns, or in another order, stops the read. A quoted
+    line break ends a row.
     """
     header = header_of(spark, path)
     missing = [c for c in required if c not in header]
@@ -49,7 +51,7 @@ def read_catalogue(
             for name in header
         ]
     )
-    rows = _options(spark.read).schema(schema).csv(path)
+    rows = _options(spark.read).option("enforceSchema", False).schema(schema).csv(path)
     columns = []
     for name in wanted:
         ours, kind = CATALOGUE_FILE[name]

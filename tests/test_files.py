@@ -232,6 +232,14 @@ def test_a_photograph_is_resampled_in_seconds():
     assert time.perf_counter() - started < 10
 
 
+def test_files_of_other_headers_stop_the_read(spark, tmp_path):
+    write(tmp_path / "m" / "a.txt", "gbifID\tidentifier\tcountryCode\n1\tu\tUS\n")
+    write(tmp_path / "m" / "b.txt", "countryCode\tgbifID\tidentifier\nUS\t2\tv\n")
+    assert read_catalogue(spark, str(tmp_path / "m" / "b.txt")).first()["gbif_id"] == 2
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_catalogue(spark, str(tmp_path / "m")).collect()
+
+
 def test_one_form_of_a_path(tmp_path, monkeypatch):
     monkeypatch.chdir(tmp_path)
     assert resolved("a/") == resolved(f"file://{tmp_path}/a") == resolved(str(tmp_path / "a")) == str(tmp_path / "a")

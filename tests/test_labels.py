@@ -64,6 +64,13 @@ def test_split_has_the_exact_size_and_repeats(spark, n):
     assert sum(s == "val" for s in first.values()) == math.ceil(0.2 * n)
 
 
+def test_text_keys_without_partner_are_counted(spark):
+    facts = spark.createDataFrame([("00000__001",), ("00000__002",), (None,)], "image_id string")
+    images = spark.createDataFrame([("00000__001",)], "image_id string")
+    found = labels.key_violations(facts, {"images": ("image_id", images)}).collect()
+    assert [tuple(r) for r in found] == [("images", 2)]
+
+
 def test_split_looks_into_prefixes_that_hold_many_rows(spark, monkeypatch):
     whole = sorted(r["id"] for r in split.with_split(spark.range(3000)).filter("split = 'val'").collect())
     monkeypatch.setattr(split, "_DIGITS", 1)
