@@ -47,9 +47,11 @@ WORDS, PERCENT = 4, 85
 BLOCK, PIVOTS = 400_000, 200
 # Routing keys a task gathers before it sends what it has.
 GATHERED = 2_000_000
+# Entries up to which short lists are merged in a heap; more are counted, which gives the same.
+HEAPED = 256
 SLICE = 1 << 21
 # Weight of a probe against a merge step, in the choice of how many lists are long.
-PROBE_WEIGHT = 0.05
+PROBE_WEIGHT = 1.0
 _U = np.uint64
 
 
@@ -207,8 +209,12 @@ class Block:
         by_length = numbers[np.argsort(lengths, kind="stable")]
         n_long = min(int(need / (PROBE_WEIGHT * np.log2(int(lengths.max()) + 1) + 1)), need - 1)
         short, long = by_length[: len(by_length) - n_long], by_length[len(by_length) - n_long :]
-        lists = [x for x in (self._open(i, own_class, limit) for i in short) if len(x)]
-        for candidate, count in merged(lists, need - n_long):
+        if (self.offsets[short + 1] - self.offsets[short]).sum() <= HEAPED:
+            lists = [x for x in (self._open(i, own_class, limit) for i in short) if len(x)]
+            found = merged(lists, need - n_long)
+        else:
+            found = self._counted(short, own_class, limit, need - n_long)
+        for candidate, count in found:
             total = count + self._probed(long, candidate)
             other = int(self.sizes[candidate])
             if 100 * total >= self.percent * (size + other - total):
@@ -224,6 +230,13 @@ class Block:
         members = members[: np.searchsorted(members, limit)]
         return members[self.classes[members] != own_class]
 
+    def _counted(self, short: np.ndarray, own_class: int, limit: int, least: int) -> Iterator[tuple[int, int]]:
+        """What ``merged`` yields, for lists with many entries: counted in one array over the block's sets."""
+        members = np.concatenate([self.lists[self.offsets[i] : self.offsets[i + 1]] for i in short])
+        counts = np.bincount(members[members < limit], minlength=limit)
+        enough = np.flatnonzero((counts >= least) & (self.classes[:limit] != own_class)) if limit else members[:0]
+        return zip(enough.tolist(), counts[enough].tolist())
+
     def _probed(self, long: np.ndarray, candidate: int) -> int:
         wanted = long * len(self.sets) + candidate
         at = np.searchsorted(self.probe, wanted)
