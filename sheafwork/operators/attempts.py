@@ -11,7 +11,7 @@ from .ordered import exact_rank, last_before, running_count
 
 ORDER = ("ts_us", "attempt_id")
 # Completions between notifications, between log entries, and between log entries of a resize.
-NOTIFY_EVERY, LOG_EVERY, RESIZE_LOG_EVERY = 50_000, 10_000, 20_000
+NOTIFY_EVERY, LOG_EVERY = 50_000, 10_000
 
 
 def classified(attempts: DataFrame) -> DataFrame:
@@ -125,3 +125,18 @@ def milestones(completions: DataFrame, every: int = NOTIFY_EVERY, stored: int =
     ranked = exact_rank(completions.select("ts_us", "attempt_id", "gbif_id"), ORDER, "_rank")
     ordinal = F.col("_rank") + F.lit(stored)
     return ranked.withColumn("ordinal", ordinal).filter(F.col("ordinal") % every == 0).select("ordinal", "gbif_id")
+
+
+def run_milestones(
+    completions: DataFrame, planned: int, stored: int = 0, intervals: tuple[int, ...] = (NOTIFY_EVERY, LOG_EVERY)
+) -> DataFrame:
+    """``every, ordinal, gbif_id, remaining`` for several intervals from one ranking.
+
+    ``planned`` is how many ids the run set out to fetch; ``remaining`` counts those not yet done then.
+    """
+    ranked = exact_rank(completions.select("ts_us", "attempt_id", "gbif_id"), ORDER, "_rank")
+    counted = ranked.withColumn("ordinal", F.col("_rank") + F.lit(stored)).withColumn(
+        "every", F.explode(F.array(*[F.lit(n) for n in intervals]))
+    )
+    reached = counted.filter(F.col("ordinal") % F.col("every") == 0)
+    return reached.select("every", "ordinal", "gbif_id", (F.lit(planned) - F.col("_rank")).alias("remaining"))

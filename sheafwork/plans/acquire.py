@@ -11,7 +11,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.attempts import broken_hosts, final_states, host_errors, state_totals, top_hosts
+from ..functions.store import store_path
+from ..operators.attempts import (
+    broken_hosts,
+    final_states,
+    first_success,
+    host_errors,
+    run_milestones,
+    state_totals,
+    top_hosts,
+)
 from ..operators.candidates import expanded, ordered_candidates
 from ..operators.catalogue import only_country
 from ..operators.evidence import id_evidence
@@ -93,6 +102,18 @@ def settle(attempts: DataFrame, unreadable: DataFrame, status_dir: str) -> DataF
     return state_totals(states)
 
 
+def undecodable(attempts: DataFrame, unreadable: DataFrame, store: str) -> DataFrame:
+    """``gbif_id, path`` of stored files to remove because their image could not be decoded."""
+    hits = final_states(attempts, F.lit(True)).join(unreadable.select("attempt_id").distinct(), "attempt_id", "left_semi")
+    return hits.select("gbif_id", store_path(resolved(store), F.col("gbif_id").cast("string")).alias("path"))
+
+
+def milestones(attempts: DataFrame, plan_rows: DataFrame, stored: int = 0, **intervals) -> DataFrame:
+    """Milestones of a run, with what remained of its plan then; ``stored`` files were there before."""
+    planned = plan_rows.filter(F.col("action").isin("fetch", "refetch")).count()
+    return run_milestones(first_success(attempts), planned, stored, **intervals)
+
+
 def host_summary(attempts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Number of broken hosts, and the hosts with most errors."""
     errors = host_errors(attempts)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,8 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.store import DEFAULT_BOX, resize_gate, stem_of
 from ..operators.images import resized
 from ..operators.layout import action_counts, gate_counts, reorganise_plan
-from ..operators.quality import with_psnr
-from ..sources.images import read_large_images
+from ..operators.quality import paired, with_psnr
+from ..sources.images import plain_path, read_images, read_large_images
 from ..sources.listing import list_files, list_flat, resolved
 from ..staging import staged
 
@@ -44,3 +48,26 @@ def reorganise(spark: SparkSession, folder: str, store: str) -> tuple[DataFrame,
 def quality_log(pairs: DataFrame) -> DataFrame:
     """``stem, mse, psnr, identical`` for rows of ``quality.paired``."""
     return with_psnr(pairs).select(stem_of(F.col("name")).alias("stem"), "mse", "psnr", "identical")
+
+
+def _pixels(images: DataFrame) -> DataFrame:
+    """``name, px``: file names and band values; what can't be decoded has none."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                values = np.frombuffer(one.column("data")[0].as_py(), np.uint8).astype(np.int32)
+                px = pa.ListArray.from_arrays([0, len(values)], pa.array(values))
+                yield pa.RecordBatch.from_arrays([one.column("name"), px], names=["name", "px"])
+
+    name = F.element_at(F.split(plain_path(F.col("origin")), "/"), -1)
+    decoded = images.filter("height > 0 AND width > 0").select(name.alias("name"), "data")
+    return decoded.mapInArrow(unpack, "name string, px array<int>")
+
+
+def quality_of_folders(spark: SparkSession, originals: str, copies: str, target: str) -> DataFrame:
+    """Measure marked copies against the originals of the same name, and write a row for each."""
+    sides = [_pixels(read_images(spark, resolved(folder))) for folder in (originals, copies)]
+    quality_log(paired(*sides)).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)

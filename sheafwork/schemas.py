@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, L, I, D, B = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BinaryType()
+S, L, I = T.StringType(), T.LongType(), T.IntegerType()
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -14,9 +14,6 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 # Columns of the catalogue file, by the names used in its header, and our names for them.
 CATALOGUE_FILE = {"gbifID": ("gbif_id", L), "identifier": ("identifier", S), "countryCode": ("country_code", S)}
 
-CATALOGUE = _struct(("gbif_id", L), ("identifier", S), ("country_code", S))
-CANDIDATES = _struct(("gbif_id", L), ("urls", T.ArrayType(S)))
-ID_SET = _struct(("id", S))
 INVENTORY = _struct(("path", S), ("length", L))
 
 ATTEMPTS = _struct(
@@ -62,10 +59,3 @@ LABELLED = _struct(
     ("species", S),
     ("scientificNameEncoded", L),
 )
-
-# The struct produced by Spark's own image source.
-IMAGE = _struct(("origin", S), ("height", I), ("width", I), ("nChannels", I), ("mode", I), ("data", B))
-
-QUALITY = _struct(("stem", S), ("mse", D), ("psnr", D), ("identical", T.BooleanType()))
-
-REPORT = _struct(("line_no", I), ("line", S))

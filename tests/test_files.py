@@ -223,6 +223,18 @@ def test_resize_folder_keeps_broken_files_and_can_run_again(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
 
+def test_quality_of_folders(spark, tmp_path):
+    pixels = np.full((4, 5, 3), 100, np.uint8)
+    write(tmp_path / "a" / "x.png", png_bytes(pixels))
+    write(tmp_path / "a" / "y.png", png_bytes(pixels))
+    write(tmp_path / "b" / "recompressed_x.png", png_bytes(pixels + 3))
+    write(tmp_path / "b" / "recompressed_y.png", png_bytes(pixels))
+    write(tmp_path / "b" / "recompressed_z.png", b"broken")
+    found = image_jobs.quality_of_folders(spark, str(tmp_path / "a"), f"file://{tmp_path}/b/", str(tmp_path / "log"))
+    got = {r["stem"]: (r["mse"], r["identical"]) for r in found.collect()}
+    assert got == {"x": (9.0, False), "y": (0.0, True)}
+
+
 def test_a_photograph_is_resampled_in_seconds():
     import time
 
@@ -296,6 +308,10 @@ def test_acquire_job(spark, tmp_path):
     assert rows(totals) == [("done", 1), ("failed", 2)]
     assert rows(read_id_set(spark, f"{lists}/processed_ids.txt")) == [("1",), ("2",), ("5",)]
     assert rows(read_id_set(spark, f"{lists}/failed_ids.txt")) == [("3",), ("6",)]
+    gone = acquire.undecodable(log, spark.createDataFrame([(60,), (60,)], "attempt_id bigint"), "st/")
+    assert [(r["gbif_id"], r["path"].rsplit("/", 1)[1]) for r in gone.collect()] == [(6, "6.jpg")]
+    reached = acquire.milestones(log, plan, stored=7, intervals=(1, 9)).collect()
+    assert sorted(tuple(r) for r in reached) == [(1, 8, 2, 2), (1, 9, 6, 1), (9, 9, 6, 1)]
     invalid, summary = link_check.check(log)
     assert {r["gbif_id"] for r in invalid.collect()} == {2, 6}
     assert summary.first().asDict() == {"checked": 4, "invalid": 2, "not_answered": 2}
