@@ -1,8 +1,10 @@
 """Quality rules: base rules per text, and a hashed n-gram log-likelihood ratio.
 
-Word pairs are hashed into buckets. Two multinomials are counted over them: one over the
-trusted documents (labelled good and not toxic), one over the whole corpus. A document's score is the
-mean over its pairs of log(p_trusted / p_raw); it is kept when the score is not below ``THRESHOLD``.
+Runs of words (``sizes``: pairs, or single words and pairs as the query has it) are hashed into buckets.
+Two multinomials are counted over them: one over the trusted documents (labelled good and not toxic), one
+over the whole corpus. A document's score is the mean over its runs of log(p_trusted / p_raw); it is kept
+when the score is not below the threshold: a number of nats, or what all but ``LOST_PERCENT`` of held-out
+trusted documents reach. Held out is a share of one in ``FOLDS`` by doc_id, left out of the trusted counts.
 Log ratios are whole multiples of 2^-20, so that a sum does not depend on its order and every document
 gets the same verdict on every run. Only DataFrame functions are used; both multinomials are one small
 aggregate of ``BUCKETS`` rows, and scoring reads them as one array.
@@ -10,7 +12,8 @@ aggregate of ``BUCKETS`` rows, and scoring reads them as one array.
 Defined results: a null or wordless text has no words, fails the base rules and has a null score; a
 null doc_id is never trusted; repeated document rows are rows of their own; repeated labels count once
 (one bad label outweighs good ones); with no trusted document all log ratios are those of equal
-multinomials smoothed, and with an empty table the result is empty. Extra columns are ignored.
+multinomials smoothed; with no held-out document that passes the base rules the threshold is ``THRESHOLD``;
+with an empty table the result is empty. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,9 +26,13 @@ from .words import SEPARATOR_PATTERN
 
 BUCKETS = 1 << 14
 PAIR = 2
+SIZES = (1, PAIR)
 SCALE = 1 << 20
 # Nats per n-gram: below it, the raw corpus explains a document e^0.1 times better per n-gram.
 THRESHOLD = -0.1
+FOLDS, LOST_PERCENT = 5, 1
+# Held-out scores are counted in steps of 1 / STEPS nats.
+STEPS = 1 << 12
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 _SPACES = " \t\n\x0b\x0c\r"
 # The characters that count as symbols.
@@ -43,9 +50,10 @@ def run_hashes(hashed: Column, n: int) -> Column:
     return F.slice(runs, 1, F.greatest(F.size(hashed) - (n - 1), F.lit(0)))
 
 
-def buckets_of(hashed: Column) -> Column:
-    """Buckets of all word pairs, from the array of word hashes."""
-    return F.transform(run_hashes(hashed, PAIR), lambda h: h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+def buckets_of(hashed: Column, sizes: tuple[int, ...] = (PAIR,)) -> Column:
+    """Buckets of all runs of ``sizes`` words, from the array of word hashes."""
+    runs = F.concat(*[run_hashes(hashed, n) for n in sizes])
+    return F.transform(runs, lambda h: h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
 
 
 def hashed_words(docs: DataFrame, *keep: str) -> DataFrame:
@@ -60,7 +68,11 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return judged.filter("quality = 1 AND toxic = 0").select("doc_id")
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+def held_out(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == FOLDS - 1
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame, sizes: tuple[int, ...] = (PAIR,)) -> DataFrame:
     """One row with ``ratios``: per bucket, 2^20 times log(p_trusted / p_raw), add-one smoothed.
 
     The aggregate has at most ``BUCKETS`` rows, whatever the corpus.
@@ -68,7 +80,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     # The same plan at every size: the trusted side has no bound.
     known = trusted.withColumn("_trusted", F.lit(1)).hint("merge")
     marked = docs.select("doc_id", "text").join(known, "doc_id", "left")
-    grams = hashed_words(marked, "_trusted").select("_trusted", F.explode(buckets_of(F.col("hashed"))).alias("bucket"))
+    grams = hashed_words(marked, "_trusted").select("_trusted", F.explode(buckets_of(F.col("hashed"), sizes)).alias("bucket"))
     counted = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_trusted").alias("good"))
     counted = staged(counted, "quality-counts")
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
@@ -137,20 +149,43 @@ def repeated_words(halves: Column) -> Column:
     return F.when(repeats < half + 1, F.lit(0)).otherwise(covered)
 
 
-def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def held_out_threshold(scored: DataFrame, held: DataFrame) -> DataFrame:
+    """One row with ``threshold``: ``LOST_PERCENT`` of the scores of held-out documents at most are below it.
+
+    Counted in steps, so the row is exact and as small for any number of documents.
+    """
+    reached = scored.filter("NOT base_failed AND score IS NOT NULL").join(held, "doc_id", "left_semi")
+    counted = reached.groupBy(F.floor(F.col("score") * STEPS).alias("step")).agg(F.count("*").alias("n"))
+    table = counted.agg(F.sort_array(F.collect_list(F.struct("step", "n"))).alias("t"), F.sum("n").alias("total"))
+    start = F.struct(F.lit(0).cast("bigint").alias("below"), F.lit(None).cast("bigint").alias("step"))
+
+    def further(acc: Column, e: Column) -> Column:
+        fits = 100 * acc["below"] <= LOST_PERCENT * F.col("total")
+        return F.struct((acc["below"] + e["n"]).alias("below"), F.when(fits, e["step"]).otherwise(acc["step"]).alias("step"))
+
+    found = F.aggregate("t", start, further, lambda acc: acc["step"])
+    return table.select(F.coalesce(found / STEPS, F.lit(THRESHOLD)).alias("threshold"))
+
+
+def judged(
+    docs: DataFrame, labels: DataFrame, sizes: tuple[int, ...] = (PAIR,), threshold: float | None = THRESHOLD
+) -> DataFrame:
     """Per document: base counts, ``base_failed``, ``score`` and ``kept``.
 
     Two passes over the texts: one counts the multinomials (the one exchange of texts, by doc_id, marks
-    the trusted ones), one judges every document where it lies.
+    the trusted ones), one judges every document where it lies. Without a ``threshold`` it is taken from
+    held-out trusted documents.
     """
-    ratios = log_ratios(docs, trusted_ids(labels))
+    trusted = trusted_ids(labels)
+    taught = trusted if threshold is not None else trusted.filter(~held_out(F.col("doc_id")))
+    ratios = log_ratios(docs, taught, sizes)
     hashed = hashed_words(docs, "doc_id", "text")
     ready = hashed.select(
         "doc_id",
         "text",
         "words",
         run_hashes(F.col("hashed"), WINDOW // 2).alias("halves"),
-        buckets_of(F.col("hashed")).alias("buckets"),
+        buckets_of(F.col("hashed"), sizes).alias("buckets"),
     )
     # One row: the array of log ratios.
     weighed = ready.withColumn("ratios", ratios.scalar())
@@ -166,5 +201,10 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
-    verdict = F.coalesce(F.col("score") >= THRESHOLD, F.lit(False))
-    return counted.withColumn("base_failed", failed).withColumn("kept", ~failed & verdict)
+    scored = counted.withColumn("base_failed", failed)
+    least = F.lit(threshold)
+    if threshold is None:
+        scored = staged(scored, "quality-scores")
+        least = held_out_threshold(scored, trusted.filter(held_out(F.col("doc_id")))).scalar()
+    verdict = F.coalesce(F.col("score") >= least, F.lit(False))
+    return scored.withColumn("kept", ~F.col("base_failed") & verdict)

@@ -30,7 +30,8 @@ def ranks_path() -> str:
 
 @query
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.judged(docs, labels, sizes=quality.SIZES, threshold=None)
 
 
 @query

@@ -92,6 +92,29 @@ def test_quality_agrees_with_brute_force(spark, docs):
             assert r["kept"] == (not failed and score is not None and score >= quality.THRESHOLD)
 
 
+def test_quality_keeps_good_and_drops_bad(spark):
+    """Documents that pass the base rules; held-out trusted ones are not in the trusted counts."""
+    sf_dir = SF_DIR.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy("doc_id").agg(
+        F.min("quality").alias("quality"), F.max("toxic").alias("toxic")
+    )
+    labels = labels.withColumn("held", quality.held_out(F.col("doc_id")))
+    rows = QUERIES["op1_quality_rules"](spark, sf_dir).filter("NOT base_failed").join(labels, "doc_id").collect()
+    bad = [r["kept"] for r in rows if r["quality"] == 0]
+    good = [r["kept"] for r in rows if r["quality"] == 1 and r["toxic"] == 0 and r["held"]]
+    assert len(bad) >= 10 and len(good) >= 30
+    assert sum(bad) / len(bad) < 0.2 and sum(good) / len(good) > 0.95
+
+
+def test_quality_threshold_of_held_out_scores(spark):
+    scores = [(i, False, i / 100 + 0.001) for i in range(200)] + [(500, True, -9.0), (501, False, None), (502, False, -5.0)]
+    scored = spark.createDataFrame(scores, "doc_id bigint, base_failed boolean, score double")
+    held = spark.createDataFrame([(i,) for i in [*range(200), 500, 501]], "doc_id bigint")
+    found = quality.held_out_threshold(scored, held).first()["threshold"]
+    assert sum(s < found for _, _, s in scores[:200]) == 2 and scores[2][2] - found < 1 / quality.STEPS
+    assert quality.held_out_threshold(scored, held.limit(0)).first()["threshold"] == quality.THRESHOLD
+
+
 def test_quality_of_odd_rows(spark, odd):
     labels = spark.createDataFrame(
         [(1, 1, 0), (1, 0, 0), (None, 1, 0), (6, 1, None)], "doc_id bigint, quality int, toxic int"
