@@ -2,7 +2,9 @@
 
 Each Spark task cuts its texts into pieces and gives its distinct pieces to a DuckDB of its own. There,
 rows (word, position, token) join the merge table; each word's leftmost pair of least rank is
-contracted, round after round, until no word has a pair left. A piece that is a token as a whole is that
+contracted, round after round, until no word has a pair left. In pieces of more than ``SHORT`` bytes all pairs
+of least rank for some way around are contracted in one round, and rows are replaced by key, so that a query
+holds one row per byte however many rounds it takes. A piece that is a token as a whole is that
 token. Ids are then put together per text, and decoded by an aggregation ordered by position.
 
 Defined results: a null text is an empty one, an empty text has no ids and decodes to no bytes; every
@@ -14,7 +16,10 @@ that looks like a special token is plain text.
 from __future__ import annotations
 
 import base64
+import os
+import tempfile
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import duckdb
@@ -29,6 +34,9 @@ REMEMBERED = 400_000
 # Bytes of pieces in one recursive query.
 QUERY_BYTES = 1 << 19
 MEMORY = "400MB"
+BLOCKS = 4
+# Bytes of a short piece at most, and rows that the rounds of one query of short pieces have at most.
+SHORT, QUERY_ROWS = 128, 1 << 22
 SCHEMA = "doc_id bigint, n_tokens bigint, ids string, decoded binary"
 
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
@@ -36,7 +44,8 @@ _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
-ENCODE = """
+# For short pieces: every round has its own rows, the square of a piece's length at most.
+ENCODE_SHORT = """
 WITH RECURSIVE step AS (
   SELECT 0 AS round, p.word, p.place, p.token, p.next_place, p.next_token, m.rank
   FROM pairs p LEFT JOIN merges m ON m.lhs = p.token AND m.rhs = p.next_token
@@ -66,6 +75,54 @@ WITH RECURSIVE step AS (
 SELECT s.word, s.place, s.token FROM step s
 JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) l ON s.word = l.word AND s.round = l.round
 """
+# For long pieces: a row per place of a word, replaced in every round; places that are merged away have no token. A pair is
+# contracted when no pair in its block or the two beside it has a less rank. Blocks are ``BLOCKS`` times the
+# longest token, and whatever is contracted earlier elsewhere would have to reach over one to touch it, so all
+# of a round's contractions are those of the order by rank and place. Equal neighbours go from the left, every
+# other one. ``alone`` marks ranks that lead to a pair of less rank: of those, only the leftmost is contracted.
+ENCODE_LONG = """
+WITH RECURSIVE step(word, place, token, next_place, next_token, rank) USING KEY (word, place) AS (
+  SELECT p.word, p.place, p.token, p.next_place, p.next_token, m.rank
+  FROM pairs p LEFT JOIN merges m ON m.lhs = p.token AND m.rhs = p.next_token
+  UNION ALL
+  (WITH least AS (
+    SELECT word, place // {block} AS block, min(rank::BIGINT << 32 | place) AS least
+    FROM recurring.step WHERE rank IS NOT NULL GROUP BY ALL
+  ), bounds AS (
+    SELECT word, block + d AS block, min(least) AS least FROM least, (VALUES (-1), (0), (1)) near(d) GROUP BY ALL
+  ), candidates AS (
+    SELECT s.word, s.place, s.next_place, s.rank
+    FROM recurring.step s JOIN bounds b ON b.word = s.word AND b.block = s.place // {block}
+    WHERE s.rank = b.least >> 32 AND (s.place = b.least & 4294967295 OR s.rank NOT IN (SELECT rank FROM alone))
+  ), runs AS (
+    SELECT *, CASE WHEN lag(next_place) OVER w = place AND lag(rank) OVER w = rank THEN 0 ELSE 1 END AS opens
+    FROM candidates WINDOW w AS (PARTITION BY word ORDER BY place)
+  ), numbered AS (
+    SELECT *, sum(opens) OVER (PARTITION BY word ORDER BY place) AS run FROM runs
+  ), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY word, run ORDER BY place) AS n FROM numbered
+  ), waiting AS (
+    SELECT f.word, f.run FROM placed f JOIN recurring.step s ON s.word = f.word AND s.next_place = f.place AND s.rank = f.rank
+    WHERE f.n = 1 AND s.token IS NOT NULL
+  ), chosen AS (
+    SELECT c.word, c.place, c.next_place, c.rank FROM placed c
+    ANTI JOIN waiting q ON q.word = c.word AND q.run = c.run WHERE c.n % 2 = 1
+  ), changed AS (
+    SELECT c.word, c.place, c.rank AS token, g.next_place, coalesce(n.rank, g.next_token) AS next_token
+    FROM chosen c JOIN recurring.step g ON g.word = c.word AND g.place = c.next_place
+    LEFT JOIN chosen n ON n.word = g.word AND n.place = g.next_place
+    UNION ALL
+    SELECT p.word, p.place, p.token, p.next_place, c.rank
+    FROM recurring.step p JOIN chosen c ON c.word = p.word AND c.place = p.next_place
+    ANTI JOIN chosen k ON k.word = p.word AND k.next_place = p.place
+    UNION ALL
+    SELECT word, next_place, NULL, NULL, NULL FROM chosen
+  )
+  SELECT x.word, x.place, x.token, x.next_place, x.next_token, m.rank
+  FROM changed x LEFT JOIN merges m ON m.lhs = x.token AND m.rhs = x.next_token)
+)
+SELECT word, place, token FROM step WHERE token IS NOT NULL
+"""
 DECODE = """
 SELECT e.word, string_agg(e.token::VARCHAR, ',' ORDER BY e.place) AS ids, count(*) AS n,
        string_agg(v.hexed, '' ORDER BY e.place) AS hexed
@@ -141,13 +198,19 @@ class Coder:
                     lhs.append(left)
                     rhs.append(right)
                     rank.append(number)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
+        # Made only when something is spilled.
+        spill = os.path.join(tempfile.gettempdir(), f"sheafwork-bpe-{uuid.uuid4().hex}")
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": spill})
+        self.encode_long = ENCODE_LONG.format(block=BLOCKS * max(map(len, self.ranks)))
         merges = pa.table({"lhs": pa.array(lhs, pa.int32()), "rhs": pa.array(rhs, pa.int32()), "rank": pa.array(rank, pa.int32())})
         names = pa.table({"rank": pa.array(list(self.ranks.values()), pa.int32()), "hexed": [t.hex() for t in self.ranks]})
         for name, table in (("merges", merges), ("vocabulary", names)):
             self.db.register("incoming", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM incoming")
             self.db.unregister("incoming")
+        self.db.execute(
+            "CREATE TABLE alone AS SELECT lhs AS rank FROM merges WHERE rank <= lhs UNION SELECT rhs FROM merges WHERE rank <= rhs"
+        )
         self._forget()
 
     def _forget(self) -> None:
@@ -163,19 +226,24 @@ class Coder:
         decoded: list = [None] * len(pieces)
         counts = [1] * len(pieces)
         names = {rank: token for token, rank in self.ranks.items()}
-        open_pieces, size = [], 0
+        # Open pieces, their bytes, and the rows of their rounds; of short and of long ones.
+        opened = {True: ([], 0, 0), False: ([], 0, 0)}
         for i, piece in enumerate(pieces):
             rank = self.ranks.get(piece)
             if rank is not None:
                 ids[i], decoded[i] = str(rank), names[rank]
                 continue
-            open_pieces.append(i)
-            size += len(piece)
-            if size >= QUERY_BYTES:
-                self._query(open_pieces, pieces, ids, counts, decoded)
-                open_pieces, size = [], 0
-        if open_pieces:
-            self._query(open_pieces, pieces, ids, counts, decoded)
+            n = len(piece)
+            short = n <= SHORT
+            chosen, size, rows = opened[short]
+            chosen.append(i)
+            opened[short] = chosen, size + n, rows + n * (n + 1) // 2
+            if size + n >= QUERY_BYTES or (short and opened[short][2] >= QUERY_ROWS):
+                self._query(short, chosen, pieces, ids, counts, decoded)
+                opened[short] = [], 0, 0
+        for short, (chosen, *_) in opened.items():
+            if chosen:
+                self._query(short, chosen, pieces, ids, counts, decoded)
         place = np.arange(len(self.ids), len(self.ids) + len(pieces))
         self.ids += ids
         self.counts += counts
@@ -184,7 +252,7 @@ class Coder:
         order = np.argsort(every, kind="stable")
         self.known, self.slot = every[order], np.concatenate([self.slot, place])[order]
 
-    def _query(self, chosen: list[int], pieces: list[bytes], ids: list, counts: list, decoded: list) -> None:
+    def _query(self, short: bool, chosen: list[int], pieces: list[bytes], ids: list, counts: list, decoded: list) -> None:
         lengths = np.array([len(pieces[i]) for i in chosen])
         data = np.frombuffer(b"".join(pieces[i] for i in chosen), np.uint8)
         word = np.repeat(np.arange(len(chosen), dtype=np.int32), lengths)
@@ -197,7 +265,7 @@ class Coder:
         self.db.register("incoming", pa.table({"word": word, "place": place, "token": token, **nexts}))
         self.db.execute("CREATE OR REPLACE TEMP TABLE pairs AS SELECT * FROM incoming")
         self.db.unregister("incoming")
-        self.db.execute(f"CREATE OR REPLACE TEMP TABLE encoded AS {ENCODE}")
+        self.db.execute(f"CREATE OR REPLACE TEMP TABLE encoded AS {ENCODE_SHORT if short else self.encode_long}")
         for w, text, n, hexed in self.db.execute(DECODE).fetchall():
             ids[chosen[w]], counts[chosen[w]], decoded[chosen[w]] = text, n, bytes.fromhex(hexed)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -230,6 +231,27 @@ def test_bpe_agrees_with_the_library(tiktoken_encoding):
         assert ids == ",".join(map(str, expected)) and n == len(expected) and decoded == text.encode()
 
 
+def long_pieces(n: int) -> list[str]:
+    rng = random.Random(n)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    return ["".join(rng.choices(letters, k=n)), "=" * n, "x" * (n - 1) + "the" * 40, "".join(rng.choices("日本語テキスト文字", k=2000))]
+
+
+@pytest.mark.parametrize("n", [20_000, 200_000])
+def test_bpe_of_very_long_pieces(tiktoken_encoding, n):
+    coder = bpe.Coder(ranks_path())
+    for text in long_pieces(n):
+        (ids,) = coder.rows(pa.array([0]), pa.array([text])).to_pydict()["ids"]
+        assert ids == ",".join(map(str, tiktoken_encoding.encode_ordinary(text)))
+
+
+def test_bpe_of_very_long_pieces_of_few_letters(tiktoken_encoding):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(rng.sample("abcdehinorst=-", 3), k=rng.randrange(1, 900))) for _ in range(400)]
+    found = bpe.Coder(ranks_path()).rows(pa.array(range(len(texts))), pa.array(texts)).to_pydict()["ids"]
+    assert found == [",".join(map(str, tiktoken_encoding.encode_ordinary(t))) for t in texts]
+
+
 def test_bpe_of_tables(spark, docs, odd, tiktoken_encoding, monkeypatch):
     out = {r["doc_id"]: r for r in QUERIES["op4_byte_bpe"](spark, SF_DIR).collect()}
     sha = lambda data: hashlib.sha256(data).hexdigest()
