@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, ngram_join, sharding, topk
+from . import hard_negatives, lexical, mixing, ngram_join, sharding, topk, url_filter
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -28,6 +28,16 @@ def _crc32(text: str) -> str:
 _WEIGHT = " ".join(f"WHEN {i} THEN {float(w)}" for i, w in enumerate(mixing.WEIGHTS))
 _HEX = mixing._DRAW_DIGITS
 
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_TRACKING = ", ".join(f"'{name}'" for name in url_filter.TRACKING)
+_BLOCKED = ", ".join(f"'{word}'" for word in url_filter.BLOCKED_WORDS)
+_LONGEST_FIRST = sorted(url_filter.RULES, key=lambda r: (-len(r[0]) - len(r[1]), -len(r[0])))
+_RULED = " ".join(
+    f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') THEN '{host}{path}'"
+    for host, path, _ in _LONGEST_FIRST
+)
+_VERDICTS = " ".join(f"WHEN '{host}{path}' THEN '{says}'" for host, path, says in url_filter.RULES)
+
 ORACLES: dict[str, str] = {
     "op2_norm_bucketed_topk": f"""
 WITH v AS (
@@ -150,5 +160,63 @@ c AS (SELECT *, place * {sharding.SHARDS} // n AS shard FROM p)
 SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard,
        place - (shard * n + {sharding.SHARDS - 1}) // {sharding.SHARDS} AS slot, NULL::INT AS grown_shard, source
 FROM c
+""",
+    "op11_term_pipeline_search": f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents WHERE doc_id IS NOT NULL),
+z AS (SELECT count(*) AS n, sum(len(t)) AS l FROM d WHERE len(t) > 0),
+f AS (SELECT doc_id, any_value(n) AS n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(z.n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, z GROUP BY term),
+i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE item_id IS NOT NULL),
+s AS (
+  SELECT item_id, doc_id, sum(w.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * f.n * z.n) // z.l))))::BIGINT AS score
+  FROM i JOIN w USING (term) JOIN f USING (term), z GROUP BY item_id, doc_id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= {lexical.K}
+""",
+    "op12_hard_negatives": f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0
+),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {hard_negatives.POSITIVES}
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND {hard_negatives.LEAST_PERCENT} * positive_score <= 100 * score
+  AND 100 * score <= {hard_negatives.MOST_PERCENT} * positive_score
+QUALIFY rank <= {hard_negatives.NEGATIVES}
+""",
+    "op13_url_filter": f"""
+WITH u AS (
+  SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+         list_sort(list_filter(string_split(coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\\?([^#]*)', 1), ''), '&'),
+           lambda p: p <> '' AND NOT starts_with(p, 'utm_') AND NOT list_contains([{_TRACKING}], string_split(p, '=')[1]))) AS q
+  FROM pages
+),
+k AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\\.', '') || regexp_replace(path, '/+$', '')
+                 || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END END AS key
+  FROM u
+),
+listed AS (SELECT DISTINCT key FROM k WHERE key IS NOT NULL AND list_has_any(regexp_split_to_array(host, '[.-]'), [{_BLOCKED}])),
+r AS (
+  SELECT k.*, listed.key IS NOT NULL AS listed, CASE {_RULED} END AS rule FROM k LEFT JOIN listed ON k.key = listed.key
+)
+SELECT page_id, host, path, rule, listed,
+       CASE rule {_VERDICTS} ELSE CASE WHEN listed THEN 'block' ELSE 'allow' END END AS verdict
+FROM r
 """,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunk_dedup, kneser_ney, langid, mixing, ngram_join, quality, sharding, suffix_dedup, topk
+from . import (
+    bpe,
+    chunk_dedup,
+    hard_negatives,
+    kneser_ney,
+    langid,
+    lexical,
+    mixing,
+    ngram_join,
+    quality,
+    sharding,
+    suffix_dedup,
+    topk,
+    url_filter,
+)
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +138,22 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = kneser_ney.scored(docs.withColumn("held_out", fold), model)
     rounded = {name: F.round(name, 6) for name in ("base_score", "score")}
     return found.withColumns(rounded).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", *rounded)
+
+
+@query
+def op11_term_pipeline_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
+@query
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = url_filter.listed_by_words(pages)
+    return url_filter.judged(pages, listed).select("page_id", "host", "path", "rule", "verdict", "listed")
