@@ -59,7 +59,7 @@ def integer_rows(embeddings: DataFrame, label: Column, scale: int = SCALE) -> Da
     return usable.select("vec_id", "label", whole.alias("v"), F.size("_w").alias("dim"))
 
 
-def vertical_blocks(rows: DataFrame, most: int = BLOCK) -> DataFrame:
+def vertical_blocks(rows: DataFrame) -> DataFrame:
     """Rows in blocks of one dimension count, as they are read: no exchange."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,9 +81,9 @@ def vertical_blocks(rows: DataFrame, most: int = BLOCK) -> DataFrame:
                 at = 0
                 while at < len(part[0]):
                     have = sum(len(p[0]) for p in held.get(dim, ()))
-                    end = min(len(part[0]), at + most - have)
+                    end = min(len(part[0]), at + BLOCK - have)
                     held.setdefault(dim, []).append(tuple(p[at:end] for p in part))
-                    if have + end - at == most:
+                    if have + end - at == BLOCK:
                         yield block(dim)
                     at = end
         for dim in sorted(held):

@@ -25,7 +25,7 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def targets_by_rounds(sizes, weights=(5, 2, 1), share=1.5, limit=2.0):
