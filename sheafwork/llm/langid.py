@@ -3,17 +3,19 @@
 Every run of 2, 3 and 4 bytes of a lower-cased text that lies inside a word (with the blank before and
 after it) is hashed into ``BUCKETS`` subwords. A text is the mean of its subwords' embeddings; a linear
 softmax turns that into languages. Both are trained together by stochastic gradient descent in numpy,
-on a bounded sample: ``PER_LANGUAGE`` documents of each language at most (on average), chosen by a hash
-of text. A tenth of the sample is set aside to fit the temperature that makes the softmax a
-calibrated probability; a text is rejected when the probability of its language is under
-``LEAST_PROBABILITY``, or when it has no letter.
+on a bounded sample: of the ``LANGUAGES`` commonest languages the ``PER_LANGUAGE`` different texts with the
+least hashes. A tenth of the sample is set aside to fit the temperature that makes the softmax a
+calibrated probability (a sample of under ``CALIBRATED`` rows has none to spare and keeps temperature 1); a text
+is rejected when the probability of its language is under ``LEAST_PROBABILITY``, or when it has no letter.
 
 For prediction, embeddings and softmax fold into one table (subword, language), so that a text costs one
 sum. Every text is read whole, where it lies.
 
 Defined results: a null text or one without a letter gets ``und``, score 0 and is rejected; rows without
-a language or text teach nothing; without any language to learn every text gets ``und``; repeated
-rows get equal answers; extra columns stay (those named like a result are replaced).
+a language or text teach nothing, nor do languages beyond the commonest (ties by name); repeated texts of a
+language teach once; without any language to learn, as in an empty table, every text gets ``und``; of equal
+probabilities the first language by name wins; repeated rows get equal answers; an empty table gives an
+empty table; extra columns stay (those named like a result are replaced).
 """
 
 from __future__ import annotations
@@ -24,20 +26,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .words import SEPARATOR, slices, text_bytes
 
-PER_LANGUAGE = 800
+PER_LANGUAGE, LANGUAGES = 800, 200
 BUCKETS, DIMENSIONS, SIZES = 1 << 15, 16, (2, 3, 4)
 EPOCHS, BATCH, RATE, SEED = 8, 16, 20.0, 7
 # A small sample is gone through more often, up to as many steps.
 LEAST_STEPS = 1500
+CALIBRATED = 50
 LEAST_PROBABILITY = 0.5
 UNDETERMINED = "und"
 _HASHES = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
+_JUDGED = ("lang_pred", "score", "rejected")
+_JUDGEMENT = "lang_pred string, score double, rejected boolean"
 
 
 def subwords(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,8 +110,8 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0)
     rng = np.random.default_rng(SEED)
     order = rng.permutation(len(samples))
-    held = order[: len(order) // 10] if len(order) >= 50 else order
-    taught = order[len(order) // 10 :] if len(order) >= 50 else order
+    apart = len(order) // 10 if len(order) >= CALIBRATED else 0
+    held, taught = order[:apart], order[apart:]
     target = np.array([languages.index(s[0]) for s in samples])
     embeddings = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights = rng.normal(0, 0.1, (DIMENSIONS, len(languages))).astype(np.float32)
@@ -133,6 +137,8 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
             owner = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
             np.add.at(embeddings, index, -rate * back[owner] * share[:, None])
     model = Model(languages, embeddings @ weights, bias, 1.0)
+    if not apart:
+        return model
     model.temperature = temperature(
         np.stack([(model.table[samples[i][1]] * (samples[i][2] / samples[i][2].sum())[:, None]).sum(0) for i in held]) + bias,
         target[held],
@@ -147,18 +153,27 @@ def temperature(logits: np.ndarray, target: np.ndarray) -> float:
     return float(tried[int(np.argmin(loss))])
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> DataFrame:
+    """``lang, text`` to learn from: no more than ``languages`` times ``per_language`` rows, whatever the table.
+
+    Texts are chosen by hash, so copies of a text are one candidate and are combined before they are exchanged.
+    """
+    labelled = docs.select("lang", "text", F.xxhash64("text").alias("mark")).filter("text IS NOT NULL AND lang IS NOT NULL")
+    common = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(languages)
+    names = [r["lang"] for r in common.select("lang").collect()]
+    least = Window.partitionBy("lang").orderBy("mark")
+    marks = labelled.select("lang", "mark").filter(F.col("lang").isin(names)).distinct()
+    chosen = marks.withColumn("place", F.row_number().over(least)).filter(F.col("place") <= per_language).drop("place")
+    # The bound of the sample bounds the broadcast: a language and a number a row.
+    return labelled.join(F.broadcast(chosen), ["lang", "mark"]).groupBy("lang", "mark").agg(F.min("text").alias("text")).drop("mark")
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Model:
     """Learn from ``text`` and ``lang`` of ``docs``.
 
-    The driver gets one row per language and the model; the sampled rows meet in one task, which they fit
+    The driver gets the names of the languages and the model; the sampled rows meet in one task, which they fit
     into by the bound of the sample: each is a vector of ``BUCKETS`` counts at most.
     """
-    labelled = docs.select("text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return fit([])
-    wanted = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, per_language / n))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,8 +193,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         model = fit([s for s in samples if len(s[1])])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model.__dict__)], pa.binary())], names=["model"])
 
-    sample = labelled.filter(drawn < wanted[F.col("lang")])
-    packed = sample.mapInArrow(vectors, "lang string, vector binary").repartition(1).mapInArrow(learn, "model binary")
+    chosen = sample(docs, per_language, languages)
+    packed = chosen.mapInArrow(vectors, "lang string, vector binary").repartition(1).mapInArrow(learn, "model binary")
     row = packed.first()
     if row is None:
         return fit([])
@@ -188,18 +203,28 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     return model
 
 
+def judgement(text: Column, model: Model) -> Column:
+    """Struct of ``lang_pred``, ``score`` and ``rejected``. Only the texts cross to Python, each once."""
+
+    def judge(texts: pa.Array) -> pa.Array:
+        found: tuple[list, list, list] = ([], [], [])
+        for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+            for kept, values in zip(found, model.predict(part.column("text"))):
+                kept.extend(values)
+        columns = [pa.array(c, k) for c, k in zip(found, (pa.string(), pa.float64(), pa.bool_()))]
+        return pa.StructArray.from_arrays(columns, names=list(_JUDGED))
+
+    # Costly, so Spark must not work it out again below a filter.
+    return F.arrow_udf(judge, _JUDGEMENT).asNondeterministic()(text)
+
+
 def identified(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected``; only ``text`` is looked at."""
-    added = T.StructType.fromDDL("lang_pred string, score double, rejected boolean")
-    kept = docs.drop(*added.names)
-    schema = T.StructType(kept.schema.fields + added.fields)
-    names = schema.names
+    kept = [c for c in docs.columns if c not in _JUDGED]
+    found = docs.select(F.struct(*kept).alias("_row"), judgement(F.col("text"), model).alias("_found"))
+    return found.select("_row.*", "_found.*")
 
-    def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found, score, rejected = model.predict(part.column("text"))
-                columns = [*part.columns, pa.array(found, pa.string()), pa.array(score), pa.array(rejected)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return kept.mapInArrow(identify, schema)
+def recognised(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose language is not rejected."""
+    return docs.filter(~judgement(F.col("text"), model)["rejected"])
