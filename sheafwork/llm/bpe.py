@@ -37,7 +37,8 @@ MEMORY = "400MB"
 BLOCKS = 4
 # Bytes of a short piece at most, and rows that the rounds of one query of short pieces have at most.
 SHORT, QUERY_ROWS = 128, 1 << 22
-SCHEMA = "doc_id bigint, n_tokens bigint, ids string, decoded binary"
+_DECODED = ", decoded binary"
+SCHEMA = "doc_id bigint, n_tokens bigint, ids string" + _DECODED
 
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
 # Code points with the White_Space property, and the endings that are cut off.
@@ -188,6 +189,7 @@ class Coder:
         with open(ranks_path, "rb") as file:
             pairs = (line.split() for line in file.read().splitlines() if line)
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
+        self.names = {rank: token for token, rank in self.ranks.items()}
         self.kinds = _classes()
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         lhs, rhs, rank = [], [], []
@@ -225,13 +227,12 @@ class Coder:
         ids: list = [None] * len(pieces)
         decoded: list = [None] * len(pieces)
         counts = [1] * len(pieces)
-        names = {rank: token for token, rank in self.ranks.items()}
         # Open pieces, their bytes, and the rows of their rounds; of short and of long ones.
         opened = {True: ([], 0, 0), False: ([], 0, 0)}
         for i, piece in enumerate(pieces):
             rank = self.ranks.get(piece)
             if rank is not None:
-                ids[i], decoded[i] = str(rank), names[rank]
+                ids[i], decoded[i] = str(rank), self.names[rank]
                 continue
             n = len(piece)
             short = n <= SHORT
@@ -269,7 +270,7 @@ class Coder:
         for w, text, n, hexed in self.db.execute(DECODE).fetchall():
             ids[chosen[w]], counts[chosen[w]], decoded[chosen[w]] = text, n, bytes.fromhex(hexed)
 
-    def rows(self, doc_ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+    def rows(self, doc_ids: pa.Array, texts: pa.Array, decode: bool = True) -> pa.RecordBatch:
         data, offsets = text_bytes(texts)
         points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
         # Code points start at bytes that don't continue another.
@@ -297,15 +298,16 @@ class Coder:
             own = slots[a:b]
             n.append(int(counts[b] - counts[a]))
             ids.append(",".join(map(self.ids.__getitem__, own)))
-            decoded.append(b"".join(map(self.decoded.__getitem__, own)))
-        return pa.RecordBatch.from_arrays(
-            [doc_ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.binary())],
-            names=["doc_id", "n_tokens", "ids", "decoded"],
-        )
+            if decode:
+                decoded.append(b"".join(map(self.decoded.__getitem__, own)))
+        columns = {"doc_id": doc_ids.cast(pa.int64()), "n_tokens": pa.array(n, pa.int64()), "ids": pa.array(ids, pa.string())}
+        if decode:
+            columns["decoded"] = pa.array(decoded, pa.binary())
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def encoded(docs: DataFrame, ranks_path: str) -> DataFrame:
-    """Per row: ``doc_id``, ``n_tokens``, ``ids`` (decimal, joined by commas), ``decoded`` (bytes).
+def encoded(docs: DataFrame, ranks_path: str, decode: bool = True) -> DataFrame:
+    """Per row: ``doc_id``, ``n_tokens``, ``ids`` (decimal, joined by commas), ``decoded`` (bytes, if asked for).
 
     Texts stay where they are: no exchange. ``ranks_path`` names a rank file every executor has.
     """
@@ -314,6 +316,7 @@ def encoded(docs: DataFrame, ranks_path: str) -> DataFrame:
         coder = Coder(ranks_path)
         for batch in batches:
             for part in slices(batch, "text", 1 << 23):
-                yield coder.rows(part.column("doc_id"), part.column("text"))
+                yield coder.rows(part.column("doc_id"), part.column("text"), decode)
 
-    return docs.select("doc_id", "text").mapInArrow(encode, SCHEMA)
+    schema = SCHEMA if decode else SCHEMA.removesuffix(_DECODED)
+    return docs.select("doc_id", "text").mapInArrow(encode, schema)
