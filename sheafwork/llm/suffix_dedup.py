@@ -201,19 +201,21 @@ def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     Texts without spans stay as they are, to the byte, and so do rows without id or text.
     """
-    spans = staged(repeated_spans(docs, least), "spans").select(
-        F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark"), F.col("spans").alias("_spans")
-    )
-    rows = docs.join(spans, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_mark")), "left")
-    names = docs.columns
-    untouched, touched = rows.filter("_spans IS NULL").select(*names), rows.filter("_spans IS NOT NULL")
+    # Columns are numbered while they travel, so that none can clash with the operator's own.
+    own, place = docs.columns, docs.columns.index("text")
+    names = [f"c{i}" for i in range(len(own))]
+    numbered = docs.toDF(*names)
+    doc, text = f"c{own.index('doc_id')}", f"c{place}"
+    spans = staged(repeated_spans(docs, least), "spans").select("doc_id", "mark", "spans")
+    rows = numbered.join(spans, (F.col(doc) == F.col("doc_id")) & (F.xxhash64(text) == F.col("mark")), "left")
+    untouched, touched = rows.filter("spans IS NULL").select(*names), rows.filter("spans IS NOT NULL").drop("doc_id", "mark")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text", SLICE):
-                data, offsets = text_bytes(piece.column("text"))
+            for piece in slices(batch, text, SLICE):
+                data, offsets = text_bytes(piece.column(text))
                 texts, kept = [], []
-                for i, spans in enumerate(piece.column("_spans").to_pylist()):
+                for i, spans in enumerate(piece.column("spans").to_pylist()):
                     own = data[offsets[i] : offsets[i + 1]]
                     starts, _ = word_bounds(own, np.array([0, len(own)]))
                     edges, at, parts = np.append(starts, len(own)), 0, []
@@ -225,8 +227,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
                         texts.append(left.tobytes().decode())
                         kept.append(i)
                 out = piece.select(names).take(pa.array(kept, pa.int64()))
-                place = names.index("text")
                 columns = [*out.columns[:place], pa.array(texts, pa.string()), *out.columns[place + 1 :]]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return untouched.unionByName(touched.mapInArrow(cut, docs.schema))
+    return untouched.unionByName(touched.mapInArrow(cut, numbered.schema)).toDF(*own)
