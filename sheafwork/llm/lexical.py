@@ -274,7 +274,8 @@ def _stage(bundles: DataFrame, postings: DataFrame, owner: int, documents: int,
         bundle.prune(owner, thresholds, k)
         bundle.advance(owner, right.to_pylist(), thresholds, documents, words)
         bundle.prune(owner + 1, thresholds, k)
-        return pa.Table.from_pylist([{c: bundle.state(k)[c] for c in schema.names}], schema)
+        state = bundle.state(k)
+        return pa.Table.from_pylist([{c: state[c] for c in schema.names}], schema)
 
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     schema = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in _STATE.split(", ")])
