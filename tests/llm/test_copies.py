@@ -84,16 +84,31 @@ def test_join_over_many_blocks(spark, monkeypatch):
     assert components_found(table(spark, rows), 4, 85) == brute_components(rows, 4, 85)
 
 
-def test_join_merges_heaps_and_runs_alike(spark, monkeypatch):
+def test_every_search_merges_its_short_lists_in_a_heap(monkeypatch):
+    """Whatever the weight of a probe, and however long the lists."""
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 200).astype(np.uint64)
     sets = [np.unique(np.concatenate([rng.choice(base, 185, replace=False), rng.integers(0, 2**63, 6).astype(np.uint64)])) for _ in range(60)]
-    nodes = np.arange(60)
-    results = []
-    for heaped in (0, 10**9):
-        monkeypatch.setattr(ngram_join, "HEAPED", heaped)
-        results.append(ngram_join.linked_classes(nodes, sets, 85).tolist())
-    assert results[0] == results[1]
+    nodes, merges, searches = np.arange(60), [], []
+    merged, search = ngram_join.merged, ngram_join.Block.search
+    monkeypatch.setattr(ngram_join, "merged", lambda lists, least: merges.append(least) or merged(lists, least))
+    monkeypatch.setattr(ngram_join.Block, "search", lambda *given: searches.append(given) or search(*given))
+    linked = [[100 * len(a := np.intersect1d(s, t)) >= 85 * (len(s) + len(t) - len(a)) for t in sets] for s in sets]
+    expected = np.arange(60)
+    for _ in range(60):
+        expected = np.array([min(expected[row]) for row in linked])
+    for weight in (10.0, 1.0, 0.01):
+        monkeypatch.setattr(ngram_join, "PROBE_WEIGHT", weight)
+        assert ngram_join.linked_classes(nodes, sets, 85).tolist() == expected.tolist()
+    assert len(merges) == len(searches)
+
+
+def test_join_finds_links_of_every_text_of_an_id(spark):
+    a, b = (" ".join(f"{w}{k}" for k in range(30)) for w in "ab")
+    rows = [(1, a), (1, b), (2, b + " more"), (3, a)]
+    for own in (rows, rows[::-1]):
+        found = ngram_join.joined(table(spark, own)).select("doc_id", "component_id").distinct()
+        assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 1), (3, 1)]
 
 
 def test_join_of_odd_rows(spark):

@@ -155,6 +155,52 @@ def test_language_of_odd_rows(spark, docs, odd):
     assert np.array_equal(again.table, model.table) and again.temperature == model.temperature
 
 
+def test_folded_table_equals_a_forward_pass():
+    """The table of log odds gives what mean embedding, weights and bias give."""
+    rng = np.random.default_rng(1)
+    embeddings, weights, bias = rng.normal(size=(langid.BUCKETS, 5)), rng.normal(size=(5, 3)), rng.normal(size=3)
+    model = langid.Model(["a", "b", "c"], embeddings @ weights, bias, 1.7)
+    texts = ["One two", "drei vier fünf", "x", "x" * 3000, "123 ?"]
+    for k, text in enumerate(texts):
+        data = re.sub(b"[ \\t-\\r]", b" ", text.lower().encode())
+        grams = []
+        for size, factor in zip(langid.SIZES, langid._HASHES):
+            for at in range(len(data) - size + 1):
+                gram = data[at : at + size]
+                if b" " in gram[1:-1] or gram[:1] == gram[-1:] == b" ":
+                    continue
+                h = ((int.from_bytes(gram, "big") ^ size) * factor) & 0xFFFFFFFF
+                grams.append(((h ^ (h >> 15)) >> 17) & 0x7FFF)
+        z = ((embeddings[grams].mean(axis=0) @ weights if grams else 0) + bias) / 1.7
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        found, score, _ = model.predict(pa.array(texts))
+        letters = any(map(str.isalpha, text))
+        assert found[k] == ("abc"[p.argmax()] if letters else "und")
+        assert score[k] == pytest.approx(p.max() if letters else 0.0, abs=1e-9)
+
+
+def test_temperature_calibrates():
+    """Of logits scaled up threefold, the fitted temperature finds the scale again."""
+    rng = np.random.default_rng(2)
+    z = rng.normal(size=(4000, 3))
+    target = np.array([rng.choice(3, p=p) for p in langid.softmax(z)])
+    assert langid.temperature(3 * z, target) == pytest.approx(3, rel=0.15)
+    p = langid.softmax(3 * z / langid.temperature(3 * z, target))
+    sure = p.max(axis=1) > 0.7
+    assert (p.argmax(axis=1) == target)[sure].mean() == pytest.approx(p.max(axis=1)[sure].mean(), abs=0.04)
+
+
+def test_sample_is_bounded_and_exact(spark):
+    rows = [(f"text {i % 90}", f"l{i % 3}") for i in range(900)] + [("copy", "l0")] * 500 + [("rare", "zz"), (None, "l0"), ("x", None)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    found = langid.sample(docs, per_language=20, languages=3).collect()
+    assert Counter(r["lang"] for r in found) == {"l0": 20, "l1": 20, "l2": 20}
+    for lang in ("l0", "l1", "l2"):
+        texts = {t for t, own in rows if own == lang and t is not None}
+        least = sorted(texts, key=lambda t: np.uint64(xxhash.xxh64_intdigest(t.encode(), seed=42)).astype(np.int64))[:20]
+        assert {r["text"] for r in found if r["lang"] == lang} == set(least)
+
+
 def brute_kneser_ney(train: list[str], texts: list[str]) -> list[float]:
     tokens = lambda t: [*WORD.findall(t.translate(LOWER)), None]
     pairs, words = Counter(), Counter()

@@ -141,3 +141,27 @@ def test_pipeline_against_brute_force(spark):
     assert Counter(r["doc_id"] for r in mixed.collect()) == +Counter(times)
     out = corpus_pipeline.run(spark, SF_DIR)
     assert Counter(r["doc_id"] for r in out.collect()) == +Counter(times)
+
+
+OWN_NAMES = ("_lead", "_doc", "_mark", "_spans", "_row", "lead", "mark", "row", "rows", "spans", "c1", "score", "lang_pred")
+
+
+def test_pipeline_stages_with_clashing_names(spark):
+    """Columns of any name pass through every stage with their values."""
+    text = "The quick brown fox and the lazy dog were in the garden of the old house by the sea and "
+    rows = [(i, text * 2 + f"then {i} of them came home again", "en", "x", 1) for i in (20, 21)]
+    rows += [(22 + i, " ".join(f"word{i}{k}" for k in range(40)) + " and " + text * 4, "en", "x", 1) for i in range(2)]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({name: F.concat(F.lit(name), "doc_id") for name in OWN_NAMES})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert all(r[c] == f"{c}{r['doc_id']}" for c in OWN_NAMES), name
+
+
+def test_near_copies_of_an_id_with_two_texts(spark):
+    texts = [" ".join(f"{w}{k}" for k in range(30)) for w in "ab"]
+    rows = [(1, texts[0], "en", "x", 1), (1, texts[1], "en", "x", 2), (2, texts[1] + " more", "en", "x", 3), (3, texts[0], "en", "y", 4)]
+    stage = dict(corpus_pipeline.STAGES)["near_copies"]
+    kept = [sorted(map(tuple, stage(spark, spark.createDataFrame(own, DOCS), SF_DIR).collect())) for own in (rows, rows[::-1])]
+    assert kept[0] == kept[1] and [r[0] for r in kept[0]] == [1]
