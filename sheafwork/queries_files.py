@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.ids import strip
 from .operators import attempts as log
 from .operators.evidence import clean_ids
 from .operators.images import flattened, resized
@@ -196,7 +197,7 @@ def st_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in ("processed_ids", "failed_ids"):
         view(spark, sf_dir, name).select("line").write.mode("append").parquet(source)
     lines = spark.readStream.schema("line string").option("maxFilesPerTrigger", 1).parquet(source)
-    ids = lines.select(F.trim("line").alias("id")).filter(F.length("id") > 0)
+    ids = lines.select(strip(F.col("line")).alias("id")).filter(F.length("id") > 0)
     _run(checkpoint.id_list_writer(ids, path), spark)
     return checkpoint.read_list(spark, path).groupBy("id").agg(F.count("*").alias("n_lines"))
 

@@ -1,22 +1,42 @@
-"""Append-only id lists in which each id appears once."""
+"""Append-only id lists in which each id appears once.
+
+A list is a table in hash buckets (``buckets``), so an append reads only the buckets it has ids for. A plain text list,
+as one file or a folder of files, stays as it is: what is appended to it goes into a table beside it, which
+first takes in the ids the text has, and again whenever the text has grown since.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.idlist import read_id_set
+from ..operators.evidence import clean_ids
+from ..sources.idlist import beside, is_table, plain_lines
+from .buckets import BucketTable
+
+
+def table_of(spark: SparkSession, path: str) -> BucketTable:
+    """The table that holds the ids of the list at ``path``, or will."""
+    plain = not is_table(spark, path) and plain_lines(spark, path) is not None
+    return BucketTable(spark, beside(path) if plain else path)
 
 
-def unseen(ids: DataFrame, stored: DataFrame) -> DataFrame:
-    """Ids not stored yet, each once."""
-    return ids.select(F.col("id").cast("string").alias("id")).distinct().join(stored, "id", "left_anti")
+def signature(spark: SparkSession, path: str) -> str:
+    """Number, bytes and latest change of the files of a plain list; contents are not read."""
+    files = spark.read.format("binaryFile").load(path).select("length", "modificationTime")
+    row = files.agg(F.count("*").alias("n"), F.sum("length").alias("size"), F.max("modificationTime").alias("at")).first()
+    return f"{row['n']} {row['size']} {row['at']}"
 
 
-def append_ids(ids: DataFrame, path: str) -> None:
-    """Append the unseen ids to the text list at ``path``.
+def append_ids(ids: DataFrame, path: str, batch: int | None = None) -> None:
+    """Append the unseen ids, each once. A batch number that was applied already changes nothing.
 
-    A job that fails leaves no part of its output, so a list never holds half an append.
+    A job that fails leaves the list as it was.
     """
-    stored = read_id_set(ids.sparkSession, path)
-    unseen(ids, stored).write.mode("append").text(path)
+    spark = ids.sparkSession
+    table = table_of(spark, path)
+    if table.path == beside(path):
+        current = signature(spark, path)
+        if table.version().origin != current:
+            table.add_new(clean_ids(plain_lines(spark, path)).select(F.col("id").alias("key")), origin=current)
+    table.add_new(ids.select(F.col("id").cast("string").alias("key")).filter("key IS NOT NULL"), batch)

@@ -1,34 +1,27 @@
 """Exactly-once id list fed by a stream.
 
-Each trigger writes the ids no earlier trigger has written into a folder of its own. A trigger that
-runs again overwrites that folder only, with the same ids, so a restart neither loses nor repeats
-any. Streaming ``dropDuplicates`` would keep every id in state for ever; here they are on disk.
+Each trigger adds the ids no earlier trigger has added, into the hash buckets they belong to, and writes its number
+into the table's manifest with the same switch. A trigger that runs again finds its number there, or starts over;
+either way a restart neither loses nor repeats any. It reads the buckets it has ids for and no others. Streaming
+``dropDuplicates`` would keep every id in state for ever; here they are on disk.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..sinks.checkpoint import unseen
-
-_LIST = "id string, trigger_no bigint"
+from ..sinks.checkpoint import append_ids, table_of
 
 
 def read_list(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(_LIST).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _LIST)
+    """``id`` and the number of the trigger it came with."""
+    return table_of(spark, path).rows().select(F.col("key").alias("id"), F.col("added").alias("trigger_no"))
 
 
 def append_trigger(ids: DataFrame, trigger_no: int, path: str) -> None:
-    stored = read_list(ids.sparkSession, path).filter(F.col("trigger_no") < trigger_no).select("id")
-    unseen(ids, stored).write.mode("overwrite").parquet(f"{path}/trigger_no={trigger_no}")
+    append_ids(ids, path, trigger_no)
 
 
 def id_list_writer(ids: DataFrame, path: str) -> DataStreamWriter:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-_TOTALS = "host string, errors bigint, trigger_no bigint"
+from ..sinks.buckets import BucketTable
+
+_ERRORS = "errors bigint"
 
 
 def rolling_errors(events: DataFrame) -> DataFrame:
@@ -14,16 +16,17 @@ def rolling_errors(events: DataFrame) -> DataFrame:
     return events.filter(F.col("is_error") == 1).groupBy("host").agg(F.count("*").alias("errors"))
 
 
-def totals_writer(totals: DataFrame, path: str) -> DataStreamWriter:
-    """Writes the hosts each trigger changed, one folder per trigger."""
+def put_totals(changed: DataFrame, trigger_no: int, path: str) -> None:
+    """Replace the totals of the hosts a trigger changed; a trigger that runs again changes nothing."""
+    rows = changed.select(F.col("host").alias("key"), "errors")
+    BucketTable(changed.sparkSession, path, _ERRORS).put(rows, trigger_no)
 
-    def write(df: DataFrame, n: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/trigger_no={n}")
 
-    return totals.writeStream.outputMode("update").foreachBatch(write)
+def totals_writer(totals: DataFrame, path: str) -> DataStreamWriter:
+    """Puts the hosts each trigger changed into the keyed table at ``path``, whose files stay few."""
+    return totals.writeStream.outputMode("update").foreachBatch(lambda df, n: put_totals(df, n, path))
 
 
 def latest_totals(spark: SparkSession, path: str) -> DataFrame:
     """Latest total of each host."""
-    changes = spark.read.schema(_TOTALS).parquet(path)
-    return changes.groupBy("host").agg(F.max_by("errors", "trigger_no").alias("errors"))
+    return BucketTable(spark, path, _ERRORS).latest().select(F.col("key").alias("host"), "errors")
