@@ -164,10 +164,14 @@ def q_image_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in order of time, a third of the span to a trigger."""
     stored = stage_path(spark, "events")
     events = log.host_events(view(spark, sf_dir, "attempts"))
-    events.write.parquet(stored)
-    return spark.readStream.schema(events.schema).parquet(stored)
+    span = events.agg(F.min("ts_us").alias("first"), F.max("ts_us").alias("last")).first()
+    third = F.least(F.floor((F.col("ts_us") - span["first"]) * 3 / (span["last"] - span["first"] + 1)), F.lit(2))
+    for part in range(3):
+        events.filter(F.coalesce(third, F.lit(0)) == part).coalesce(1).write.mode("append").parquet(stored)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(stored)
 
 
 def _run(writer, spark: SparkSession) -> None:
@@ -179,9 +183,8 @@ def _run(writer, spark: SparkSession) -> None:
 @query
 def st_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "decisions")
-    decisions = guard.guarded(_event_stream(spark, sf_dir))
-    _run(decisions.writeStream.format("parquet").option("path", path), spark)
-    return spark.read.schema(guard.DECISIONS).parquet(path)
+    _run(guard.guard_writer(_event_stream(spark, sf_dir), path), spark)
+    return guard.decisions(spark, path)
 
 
 @query

@@ -89,3 +89,50 @@ def test_steps_give_the_rest_a_replay_ends_with(rows, start):
     by_steps = int(ends[at]) if at < len(latest) else start
     assert by_steps == guard.replay(ts, rest, start)[1]
     assert (np.diff(latest) > 0).all()
+
+
+def pairs(rows):
+    rows.sort(key=lambda r: r[0])
+    return np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
+
+
+@settings(max_examples=300, deadline=None)
+@given(asking, asking, st.integers(-10, 300))
+def test_composed_steps_are_one_after_the_other(first, then, start):
+    first, then = pairs(first), pairs([(ts + 100, rest) for ts, rest in then])
+    one, two = guard.chunk_steps(*first), guard.chunk_steps(*then)
+    both = guard.compose(one, two)
+    assert guard.after(both, start) == guard.after(two, guard.after(one, start))
+    assert (np.diff(both[0]) > 0).all()
+
+
+def test_a_thousand_chunks_compose_like_one_replay():
+    """One host, 1,000 chunks: whatever the bracketing, and never more than the steps of the two that meet."""
+    rng = np.random.default_rng(3)
+    ts = np.sort(rng.integers(0, 10**7, 20_000))
+    rest = rng.integers(1, 3000, 20_000)
+    chunks = [guard.chunk_steps(ts[i : i + 20], rest[i : i + 20]) for i in range(0, 20_000, 20)]
+    level = chunks
+    while len(level) > 1:
+        level = [
+            guard.compose(*level[i : i + 2]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)
+        ]
+    resting = guard.NEVER
+    for steps in chunks:
+        resting = guard.after(steps, resting)
+    assert guard.after(level[0], guard.NEVER) == resting == guard.replay(ts, rest, guard.NEVER)[1]
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_replay_over_many_levels(many_chunks, monkeypatch, fan):
+    """One host with nine tenths of the log, 40 chunks, folded two or three at a time."""
+    monkeypatch.setattr(guard, "FAN", fan)
+    rng = random.Random(11)
+    events = [(h if rng.random() < 0.1 else "hot", t, i, e, r) for i, (h, t, _, e, r) in enumerate(log(4000, 6, 10**6, 90_000, 0.001))]
+    before = many_chunks.conf.get("spark.sql.shuffle.partitions")
+    many_chunks.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        df = many_chunks.createDataFrame(events, SCHEMA)
+        assert decided(guard.replay_events(df)) == expected_decisions(events)
+    finally:
+        many_chunks.conf.set("spark.sql.shuffle.partitions", before)

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from test_guard import SCHEMA, decided, expected_decisions, log
 
+from sheafwork.operators import guard as replay_module
 from sheafwork.streaming import checkpoint, guard, milestones, totals
 
 
@@ -29,11 +30,46 @@ def test_guard_stream_equals_replay(spark, tmp_path, seed):
 
     def start():
         stream = spark.readStream.schema(SCHEMA).parquet(source)
-        with guard.rocksdb_state(spark):
-            return guard.guarded(stream).writeStream.format("parquet").option("checkpointLocation", state).start(out)
+        return guard.guard_writer(stream, out).option("checkpointLocation", state).start()
 
     feed(spark, source, [events[:400], events[400:401], events[401:1100], events[1100:]], SCHEMA, start, stop_after=2)
-    assert decided(spark.read.schema(guard.DECISIONS).parquet(out)) == expected_decisions(events)
+    assert decided(guard.decisions(spark, out)) == expected_decisions(events)
+
+
+@pytest.mark.parametrize("case", [(2400, 7, 10**6, 60_000, 0.02), (2400, 8, 900, 70, 0.2)])
+def test_hot_host_of_a_trigger_is_cut_over_tasks(many_chunks, tmp_path, monkeypatch, case):
+    """Three triggers in which one host owns most rows, decided in chunks and seeded by the triggers before."""
+    spark, out = many_chunks, str(tmp_path / "out")
+    events = sorted(log(*case), key=lambda r: (r[1], r[2]))
+    chunked = []
+    whole = replay_module._chunked
+
+    def watched(rows, seeds):
+        found = whole(rows, seeds)
+        chunked.append(found.select("_chunk").distinct().count())
+        return found
+
+    monkeypatch.setattr(replay_module, "_chunked", watched)
+    for n, part in enumerate((events[:800], events[800:1600], events[1600:])):
+        guard.decide_trigger(spark.createDataFrame(part, SCHEMA).repartition(4), n, out)
+    assert decided(guard.decisions(spark, out)) == expected_decisions(events)
+    assert len(chunked) == 3 and min(chunked) >= 6
+
+
+def test_a_repeated_trigger_gives_the_same_decisions(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    events = sorted(log(900, 9, 10**5, 9000, 0.1), key=lambda r: (r[1], r[2]))
+    frames = [spark.createDataFrame(part, SCHEMA) for part in (events[:300], events[300:600], events[600:])]
+    guard.decide_trigger(frames[0], 0, out)
+    with monkeypatch.context() as broken:
+        broken.setattr(guard.BucketTable, "put", lambda *given: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            guard.decide_trigger(frames[1], 1, out)
+    for n in (1, 1, 0, 2, 2):
+        guard.decide_trigger(frames[n], n, out)
+    assert decided(guard.decisions(spark, out)) == expected_decisions(events)
+    errors = {r["key"]: r["errors"] for r in guard.host_states(spark, out).latest().collect()}
+    assert set(errors) == {e[0] for e in events}
 
 
 def test_id_list_stream_survives_a_repeated_trigger(spark, tmp_path):
