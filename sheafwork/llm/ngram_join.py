@@ -11,11 +11,14 @@ care of exact copies. Two nodes link when 100 * intersection >= ``percent`` * un
    share then has one entry per task. Nodes with an equal key are tied in a star, not paired.
 2. **Groups.** Components of these stars are the groups within which links are searched. A group is cut
    into blocks of bounded size. Every block also holds the group's pivots, a few of its nodes.
-3. **Search.** In a block, each set looks up its inverted lists: the short ones are merged in a heap, with
-   skips over what can't reach the needed count any more; the long ones are probed by binary search for
-   each survivor (DivideSkip). Nodes already known to be connected need no second link.
-4. **The rest.** Where blocks of a group stay unconnected, nodes outside its largest class are compared
-   with all its blocks, block by block, until every pair of different classes is searched.
+3. **Search.** In a block, each set looks up its inverted lists, without sets too small or too large for a link: the
+   short ones are merged by a heap, what is in too few of them is skipped, and the long ones are probed by binary
+   search for each survivor (DivideSkip). Nodes already known to be connected need no second link.
+4. **The rest.** Where blocks of a group stay unconnected, a node can only link outside its class if enough of its
+   shingles occur in other classes. That is counted once over all open groups, by ranges of shingles; nodes with too
+   few are done. What is left meets in blocks once more, dealt by the greatest shingle instead of the least (linked
+   sets mostly share both), and is counted again. Of what is left then, nodes outside the largest class of a group
+   are compared with all its blocks, block by block, until every pair of different classes is searched.
 
 Components of the links found are exact: only pairs that are connected anyway are left out.
 
@@ -39,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ..staging import staged
 from .components import components
-from .packed import pack, part_bits, unpack
+from .packed import from_planes, pack, part_bits, planes, unpack
 from .words import batch_words, gram_hashes, mix, slices
 
 WORDS, PERCENT = 4, 85
@@ -48,10 +51,11 @@ BLOCK, PIVOTS = 400_000, 200
 # Routing keys a task gathers before it sends what it has.
 GATHERED = 2_000_000
 SLICE = 1 << 21
-# Weight of a probe against a merge step, in the choice of how many lists are long. All probes of a candidate are one
-# search in one array, so a probe costs a hundredth of a step of the heap; blocks of 2,000 documents took 1.2 to
-# 2.2 s with it, 1.6 to 2.4 s with 0.03 and 3.2 to 4.3 s with 1.
-PROBE_WEIGHT = 0.01
+# Shingles whose classes are counted together: texts of one chunk, and shingles of one range.
+CHUNK = 1_000_000
+# Weight of a probe against a merge step, in the choice of how many lists are long. Both are a few operations on whole
+# arrays here; in a block of 1,090 documents that share much, 0.01, 0.1 and 1 took 7.4, 6.9 and 8.0 s.
+PROBE_WEIGHT = 0.1
 _U = np.uint64
 
 
@@ -187,7 +191,7 @@ class Block:
 
     def __init__(self, sets: list[np.ndarray], classes: np.ndarray, percent: int):
         self.sets, self.percent = sets, percent
-        self.sizes = np.array([len(s) for s in sets])
+        self.sizes = np.array([len(s) for s in sets], np.int64)
         self.classes = classes.copy()
         every = np.concatenate(sets) if sets else np.empty(0, np.uint64)
         owner = np.repeat(np.arange(len(sets)), self.sizes)
@@ -209,7 +213,7 @@ class Block:
         by_length = numbers[np.argsort(lengths, kind="stable")]
         n_long = min(int(need / (PROBE_WEIGHT * np.log2(int(lengths.max()) + 1) + 1)), need - 1)
         short, long = by_length[: len(by_length) - n_long], by_length[len(by_length) - n_long :]
-        for candidate, count in merged(self._open(short, own_class, limit), need - n_long):
+        for candidate, count in merged(self._open(short, own_class, limit, size), need - n_long):
             total = count + self._probed(long, candidate)
             other = int(self.sizes[candidate])
             if 100 * total >= self.percent * (size + other - total):
@@ -220,12 +224,15 @@ class Block:
         at[at == len(self.tokens)] = 0
         return at[self.tokens[at] == shingles] if len(self.tokens) else at[:0]
 
-    def _open(self, numbers: np.ndarray, own_class: int, limit: int) -> list[np.ndarray]:
-        """The lists without what is at or after ``limit`` or of the own class; empty ones left out."""
+    def _open(self, numbers: np.ndarray, own_class: int, limit: int, size: int) -> list[np.ndarray]:
+        """The lists without what is at or after ``limit``, of the own class, or of a size that can't link with
+        ``size``; empty ones left out."""
         lengths = self.offsets[numbers + 1] - self.offsets[numbers]
         ends = np.cumsum(lengths)
         members = self.lists[np.arange(lengths.sum()) + np.repeat(self.offsets[numbers] - ends + lengths, lengths)]
+        others = self.sizes[members]
         keep = (members < limit) & (self.classes[members] != own_class)
+        keep &= (100 * others >= self.percent * size) & (100 * size >= self.percent * others)
         cuts = np.cumsum(np.bincount(np.repeat(np.arange(len(numbers)), lengths)[keep], minlength=len(numbers)))
         return [x for x in np.split(members[keep], cuts[:-1]) if len(x)]
 
@@ -237,35 +244,23 @@ class Block:
 
 
 def merged(lists: list[np.ndarray], least: int) -> Iterator[tuple[int, int]]:
-    """Numbers found in ``least`` lists or more, with how many: heap merge with skips.
-
-    When a number is found too rarely, the heads of the ``least`` - 1 smallest lists can jump to the
-    next head: nothing in between can be in enough lists.
-    """
-    heads = [(int(x[0]), i) for i, x in enumerate(lists)]
-    places = [0] * len(lists)
-    heapq.heapify(heads)
-    while len(heads) >= least:
-        value, popped = heads[0][0], []
-        while heads and heads[0][0] == value:
-            popped.append(heapq.heappop(heads)[1])
-        if len(popped) >= least:
-            yield value, len(popped)
-            target = value + 1
-        else:
-            while len(popped) < least - 1 and heads:
-                popped.append(heapq.heappop(heads)[1])
-            if not heads:
-                return
-            target = max(heads[0][0], value + 1)
-        for i in popped:
-            own = lists[i]
-            at = places[i]
-            if own[at] < target:
-                at += int(np.searchsorted(own[at:], target))
-            places[i] = at
-            if at < len(own):
-                heapq.heappush(heads, (int(own[at]), i))
+    """Numbers found in ``least`` lists or more, with how many: the lists lie in a heap by length, and the two
+    shortest are merged until one is left."""
+    heap = [(len(x), i, x) for i, x in enumerate(lists)]
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        _, i, short = heapq.heappop(heap)
+        _, _, other = heap[0]
+        # A stable sort of two ascending runs is one merge.
+        both = np.sort(np.concatenate([short, other]), kind="stable")
+        heapq.heapreplace(heap, (len(both), i, both))
+    if not heap:
+        return
+    values = heap[0][2]
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    counts = np.diff(np.append(first, len(values)))
+    enough = counts >= least
+    yield from zip(values[first[enough]].tolist(), counts[enough].tolist())
 
 
 def linked_classes(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -301,7 +296,7 @@ def crossing_links(
 
 
 def nodes_of(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``node`` (null for an empty set) of every row."""
+    """``doc_id``, ``n_shingles``, ``node`` (null for an empty set), least and greatest shingle of every row."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,17 +307,33 @@ def nodes_of(docs: DataFrame, n: int) -> DataFrame:
                         piece.column("doc_id").cast(pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([digest(s) if len(s) else None for s in sets], pa.int64()),
+                        *[pa.array([int(s[end].view(np.int64)) if len(s) else None for s in sets], pa.int64()) for end in (0, -1)],
                     ],
-                    names=["doc_id", "n_shingles", "node"],
+                    names=["doc_id", "n_shingles", "node", "low", "high"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(name, "doc_id bigint, n_shingles bigint, node bigint")
+    return docs.select("doc_id", "text").mapInArrow(name, "doc_id bigint, n_shingles bigint, node bigint, low bigint, high bigint")
+
+
+def _dealt(rows: DataFrame, end: str) -> DataFrame:
+    """``rows`` (``unit``, ``n``, ``node``) with ``block`` and ``blocks`` of their unit, by the shingle in ``end``.
+
+    Of linked sets most share the least shingle, and most the greatest, so they mostly meet in one block. Nodes of
+    one shingle that are too many for a block are cut by their number.
+    """
+    per_key = rows.groupBy("unit", end).agg(F.sum("n").alias("_k")).withColumn("_pieces", F.ceil(F.col("_k") / BLOCK))
+    crowded = staged(per_key.filter("_pieces > 1").select("unit", end, "_pieces"), "crowded-shingles")
+    sizes = staged(rows.groupBy("unit").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")), "unit-sizes")
+    piece = F.pmod(F.xxhash64("node"), F.coalesce("_pieces", F.lit(1)))
+    placed = rows.join(sizes, "unit").join(crowded, ["unit", end], "left")
+    return placed.withColumn("block", F.pmod(F.xxhash64(end, piece), F.col("blocks")).cast("int")).drop("_pieces")
 
 
 def _members(docs: DataFrame, named: DataFrame, groups: DataFrame) -> DataFrame:
     """Nodes of groups with their text, block and number of blocks: ``node``, ``unit``, ``block``,
     ``blocks``, ``pivot``, ``text``. Groups that fit into one block share units."""
-    speakers = named.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
+    least = [F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")]
+    speakers = named.filter("node IS NOT NULL").groupBy("node").agg(*least)
     members = staged(groups.join(speakers, "node").withColumnRenamed("component", "group"), "members")
     sizes = members.groupBy("group").agg(F.sum("n").alias("_n"), F.count("*").alias("_nodes"))
     sizes = staged(sizes.withColumn("blocks", F.ceil(F.col("_n") / BLOCK).cast("int")), "group-sizes")
@@ -330,14 +341,13 @@ def _members(docs: DataFrame, named: DataFrame, groups: DataFrame) -> DataFrame:
     units = small // BLOCK + 1
     alone = F.col("blocks") == 1
     drawn = F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(1 << 20)) / float(1 << 20)
-    placed = members.join(sizes, "group").select(
-        "node",
-        "doc_id",
-        F.when(alone, F.pmod(F.xxhash64("group"), F.lit(units))).otherwise(F.col("group")).alias("unit"),
-        F.when(alone, F.lit(-1)).otherwise(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).alias("block"),
-        "blocks",
-        (~alone & (drawn < PIVOTS / F.col("_nodes"))).alias("pivot"),
+    told = ["node", "doc_id", "n", "low", "high"]
+    known = members.join(sizes, "group")
+    few = known.filter(alone).select(
+        *told, F.pmod(F.xxhash64("group"), F.lit(units)).alias("unit"), "blocks", F.lit(-1).alias("block"), F.lit(False).alias("pivot")
     )
+    many = known.filter(~alone).select(*told, F.col("group").alias("unit"), (drawn < PIVOTS / F.col("_nodes")).alias("pivot"))
+    placed = few.unionByName(_dealt(many, "low"))
     return placed.join(docs.select("doc_id", "text"), "doc_id").drop("doc_id")
 
 
@@ -351,6 +361,70 @@ def _sets(table: pa.Table, n: int) -> tuple[np.ndarray, list[np.ndarray], pa.Tab
     return nodes[own], [sets[i] for i in own], table.take(own)
 
 
+def _runs(sets: list[np.ndarray], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of sets, the least class each is in, and whether it is in others as well."""
+    every = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    owner = np.repeat(classes, [len(s) for s in sets])
+    return _mixed(every, owner, np.zeros(len(every), bool))
+
+
+def _mixed(shingles: np.ndarray, classes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(shingles, kind="stable")
+    shingles, classes, known = shingles[order], classes[order], known[order]
+    if not len(shingles):
+        return shingles, classes, known
+    first = np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1]))
+    least, most = np.minimum.reduceat(classes, first), np.maximum.reduceat(classes, first)
+    return shingles[first], least, (least != most) | np.logical_or.reduceat(known, first)
+
+
+def still_open(rest: DataFrame, n: int, percent: int) -> DataFrame:
+    """``node`` of the rows (``node``, ``class``, ``text``, ``n`` shingles) that may link outside their class.
+
+    Texts are taken together by chunks of some ``CHUNK`` shingles. Every chunk sends each of its shingles once, with its
+    class, to the range the shingle is in, so a shingle of very many texts has one entry per chunk; the range
+    answers with those that are in several classes.
+    """
+    total = rest.agg(F.sum("n").alias("n")).first()["n"] or 0
+    ranges = 1 << max(1, (total // CHUNK).bit_length())
+    chunked = rest.select("node", "class", "text", F.pmod(F.xxhash64("node", F.lit("count")), F.lit(total // CHUNK + 1)).alias("chunk"))
+
+    def send(table: pa.Table) -> pa.Table:
+        _, sets, rows = _sets(table, n)
+        keys, classes, mixed = _runs(sets, rows.column("class").to_numpy())
+        cuts = np.searchsorted(keys, (np.arange(ranges, dtype=np.uint64) * _U((1 << 64) // ranges)))
+        rows = {name: [] for name in ("range", "chunk", "keys", "names", "classes", "mixed")}
+        for number, (i, j) in enumerate(zip(cuts, np.append(cuts[1:], len(keys)))):
+            names, index = np.unique(classes[i:j], return_inverse=True)
+            parts = (number, table.column("chunk")[0].as_py(), pack(keys[i:j]), names.tobytes(), planes(index), np.packbits(mixed[i:j]).tobytes())
+            for column, value in zip(rows.values(), parts):
+                column.append(value)
+        kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+        return pa.table({name: pa.array(column, kind) for (name, column), kind in zip(rows.items(), kinds)})
+
+    def answer(table: pa.Table) -> pa.Table:
+        sent = table.to_pylist()
+        keys = [unpack(r["keys"]) for r in sent]
+        classes = [np.frombuffer(r["names"], np.int64)[from_planes(r["classes"], np.int64)] for r in sent]
+        mixed = [np.unpackbits(np.frombuffer(r["mixed"], np.uint8), count=len(k)).astype(bool) for r, k in zip(sent, keys)]
+        every, _, found = _mixed(np.concatenate(keys), np.concatenate(classes), np.concatenate(mixed))
+        shared = every[found]
+        told = [pack(k[~m & np.isin(k, shared, assume_unique=True)]) for k, m in zip(keys, mixed)]
+        return pa.table({"chunk": pa.array([r["chunk"] for r in sent], pa.int64()), "keys": pa.array(told, pa.binary())})
+
+    def judge(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        nodes, sets, rows = _sets(texts, n)
+        keys, _, mixed = _runs(sets, rows.column("class").to_numpy())
+        shared = np.sort(np.concatenate([keys[mixed], *[unpack(k) for k in answers.column("keys").to_pylist()]]))
+        common = [int(np.isin(s, shared, assume_unique=True).sum()) for s in sets]
+        able = [i for i, (s, c) in enumerate(zip(sets, common)) if 100 * c >= percent * len(s)]
+        return pa.table({"node": pa.array(nodes[able], pa.int64())})
+
+    sent = chunked.groupBy("chunk").applyInArrow(send, "range int, chunk bigint, keys binary, names binary, classes binary, mixed binary")
+    answers = sent.groupBy("range").applyInArrow(answer, "chunk bigint, keys binary")
+    return chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(judge, "node bigint")
+
+
 def links(docs: DataFrame, named: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Rows ``a``, ``b`` of node numbers: enough links to connect what links connect."""
     groups = components(candidate_edges(docs, n, percent))
@@ -365,19 +439,46 @@ def links(docs: DataFrame, named: DataFrame, n: int = WORDS, percent: int = PERC
     in_blocks = members.unionByName(guests).select("unit", "block", "node", "text")
     found = staged(in_blocks.groupBy("unit", "block").applyInArrow(within, "a bigint, b bigint"), "block-links")
 
-    large = members.filter("blocks > 1")
-    joined = components(found.join(large.select(F.col("node").alias("a")).distinct(), "a", "left_semi"))
-    known = joined.withColumnRenamed("component", "class")
-    classed = large.join(known, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    large = members.filter("blocks > 1").drop("pivot", "block", "blocks")
+    rest = _open_groups(large, found)
+    if rest is None:
+        return found
+    # Nodes that may link elsewhere meet once more, by the other end of their sets, and what is found counts.
+    able = _open_nodes(rest, n, percent)
+    dealt = _dealt(able, "high").select("unit", "block", "node", "text")
+    again = staged(dealt.groupBy("unit", "block").applyInArrow(within, "a bigint, b bigint"), "block-links")
+    found = found.unionByName(again)
+    rest = _open_groups(able.drop("class", "asks"), found)
+    if rest is None:
+        return found
+    return found.unionByName(staged(_crossing(_open_nodes(rest, n, percent), n, percent), "crossing-links"))
+
+
+def _open_groups(rows: DataFrame, found: DataFrame) -> DataFrame | None:
+    """``rows`` (``unit``, ``node``) of groups the links leave in several classes, with ``class`` and ``asks``, false
+    for a group's largest class; None if there are no such groups."""
+    own = rows.select(F.col("node").alias("a")).distinct()
+    known = components(found.join(own, "a", "left_semi")).withColumnRenamed("component", "class")
+    classed = rows.join(known, "node", "left").withColumn("class", F.coalesce("class", "node"))
     counted = classed.groupBy("unit", "class").agg(F.count("*").alias("_k"))
-    largest = staged(counted.groupBy("unit").agg(F.max_by("class", F.struct("_k", "class")).alias("_main"), F.count("*").alias("_classes")), "classes")
+    largest = counted.groupBy("unit").agg(F.max_by("class", F.struct("_k", "class")).alias("_main"), F.count("*").alias("_classes"))
     # Groups that are one class by now have nothing left to search.
-    open_groups = largest.filter("_classes > 1")
+    open_groups = staged(largest, "classes").filter("_classes > 1").drop("_classes")
     if open_groups.isEmpty():
-        return found
-    rest = staged(classed.join(open_groups, "unit").withColumn("asks", F.col("class") != F.col("_main")), "open-groups")
+        return None
+    asks = F.col("class") != F.col("_main")
+    return staged(classed.join(open_groups, "unit").withColumn("asks", asks).drop("_main"), "open-groups")
+
+
+def _open_nodes(rest: DataFrame, n: int, percent: int) -> DataFrame:
+    able = staged(still_open(rest, n, percent), "open-nodes")
+    return staged(rest.join(able, "node"), "open-groups")
+
+
+def _crossing(rest: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links between classes: nodes that ask, chunk by chunk, against every block of their unit."""
     asking = rest.filter("asks").groupBy("unit").agg(F.ceil(F.sum(F.octet_length("text")) / (BLOCK * 6)).cast("int").alias("chunks"))
-    rest = rest.join(staged(asking, "asking"), "unit")
+    rest = _dealt(rest, "low").join(staged(asking, "asking"), "unit")
     chunk = F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("chunks")).cast("int")
     askers = rest.filter("asks").select(
         "unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), chunk.alias("chunk"), "node", "text", "class", "asks"
@@ -394,8 +495,7 @@ def links(docs: DataFrame, named: DataFrame, n: int = WORDS, percent: int = PERC
         found = crossing_links(*sides, percent)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
-    crossing = askers.unionByName(held).groupBy("unit", "block", "chunk").applyInArrow(across, "a bigint, b bigint")
-    return found.unionByName(staged(crossing, "crossing-links"))
+    return askers.unionByName(held).groupBy("unit", "block", "chunk").applyInArrow(across, "a bigint, b bigint")
 
 
 def joined(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
