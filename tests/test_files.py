@@ -99,6 +99,33 @@ def test_bundle_to_written_dataset(spark, tmp_path):
     assert header == ",image_id,filename,caption,scientificName,family,genus,species,scientificNameEncoded"
 
 
+@pytest.mark.parametrize("lines", [False, True])
+def test_the_last_document_wins(spark, tmp_path, lines):
+    """Three documents that repeat keys, as files and as lines of one file; annotations get names of their own."""
+    documents = []
+    for n in range(3):
+        one = bundle_2022()
+        for category in one["categories"]:
+            category["species"] = f"species{n}"
+        one["categories"].append(dict(one["categories"][0], species=f"last{n}"))
+        documents.append(one)
+    folder = tmp_path / "meta"
+    folder.mkdir()
+    if lines:
+        write(folder / "all.json", "\n".join(map(json.dumps, documents)))
+    else:
+        for n in (2, 0, 1):
+            write(folder / f"{n}.json", json.dumps(documents[n], indent=1))
+    star = bundle.star_2022(bundle.read_bundles(spark, str(folder), BUNDLE_2022, multi_line=not lines))
+    species = {r["category_id"]: r["species"] for r in star["categories"].collect()}
+    first = documents[0]["categories"][0]["category_id"]
+    assert species == {k: "last2" if k == first else "species2" for k in species}
+    ids = [r["id"] for r in star["annotations"].collect()]
+    assert len(ids) == len(set(ids)) == 3 * len(documents[0]["annotations"])
+    images = {str(a["image_id"]) for a in documents[0]["annotations"]}
+    assert images <= set(ids) and {i.split("#")[0] for i in ids} == images
+
+
 def test_bundle_2021(spark, tmp_path):
     meta = {
         "annotations": [{"id": 5, "category_id": 1, "institution_id": 2, "image_id": 9}],

@@ -78,6 +78,24 @@ def test_split_looks_into_prefixes_that_hold_many_rows(spark, monkeypatch):
     assert whole == sorted(r["id"] for r in split.with_split(spark.range(3000)).filter("split = 'val'").collect())
 
 
+@pytest.mark.parametrize("groups", [[50], [30, 1, 1, 18], [7] * 20, [1, 999]])
+def test_split_is_exact_where_rows_share_an_id(spark, groups):
+    data = [(g, k, None if k % 3 else "x") for g, n in enumerate(groups) for k in range(n)]
+    df = spark.createDataFrame(data, "id int, k int, note string")
+    first = split.with_split(df)
+    assert first.filter("split = 'val'").count() == math.ceil(0.2 * len(data)) and first.count() == len(data)
+    again = split.with_split(df.repartition(5))
+    assert sorted(map(repr, first.collect())) == sorted(map(repr, again.collect()))
+    same = split.with_split(df.select("id"))
+    assert same.filter("split = 'val'").count() == math.ceil(0.2 * len(data))
+
+
+def test_split_of_no_rows_and_of_null_ids(spark):
+    assert split.with_split(spark.range(0)).count() == 0
+    rows = spark.createDataFrame([(None,), (None,)], "id bigint")
+    assert {r["split"] for r in split.with_split(rows).collect()} == {"train"}
+
+
 def test_split_plan_shuffles_no_rows(spark):
     plan = split.with_split(spark.range(100))._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan.split("scalar-subquery")[0]
