@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -58,10 +59,15 @@ def _taps(weights: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(places[:, k], taken[:, k]) for k in range(most)]
 
 
+@lru_cache(maxsize=64)
+def axis_taps(source: int, target: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Taps of one axis; images of a folder mostly share a few sizes."""
+    return _taps(lanczos_weights(source, target))
+
+
 def resample(pixels: np.ndarray, width: int, height: int) -> np.ndarray:
     """Separable Lanczos: rows first, rounded to bytes, then columns; only taps with weight are summed."""
-    across = _taps(lanczos_weights(pixels.shape[1], width))
-    down = _taps(lanczos_weights(pixels.shape[0], height))
+    across, down = axis_taps(pixels.shape[1], width), axis_taps(pixels.shape[0], height)
     rows, _, bands = pixels.shape
     # A strip at a time, so that an image is never held as doubles whole.
     wide = np.empty((rows, width, bands), np.uint8)

@@ -250,6 +250,43 @@ def test_resize_folder_keeps_broken_files_and_can_run_again(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
 
+def test_every_file_of_a_resize_has_an_outcome(spark, tmp_path):
+    noise = np.random.default_rng(1).integers(0, 256, (900, 1000, 3), dtype=np.uint8)
+    folder, out = str(tmp_path / "f"), str(tmp_path / "out")
+    files = {"large.png": png_bytes(noise), "broken.png": bytes(noise)[:2_500_000], "small.png": png_bytes(noise[:9, :9]), "empty.png": b""}
+    for name, content in files.items():
+        write(tmp_path / "f" / name, content)
+    image_jobs.resize_folder(spark, folder, out, box=100)
+    write(tmp_path / "f" / "late.png", png_bytes(noise))
+    found = image_jobs.resize_outcomes(spark, folder, out)
+    assert {r["path"].rsplit("/", 1)[1]: r["outcome"] for r in found.collect()} == {
+        "large.png": "resized", "broken.png": "unreadable", "small.png": "skip_small", "empty.png": "skip_empty", "late.png": "missing",
+    }
+    image_jobs.resize_folder(spark, folder, out, box=2000)
+    counts = dict(rows(image_jobs.outcome_counts(image_jobs.resize_outcomes(spark, f"file://{folder}/", out))))
+    # Not shrunk, but no JPEG either.
+    assert counts == {"resized": 2, "unreadable": 1, "skip_small": 1, "skip_empty": 1}
+    assert {r["origin"].rsplit("/", 1)[1]: r["changed"] for r in spark.read.parquet(out).collect()}["late.png"] is True
+
+
+def test_annotations_without_a_partner_are_counted(spark, tmp_path):
+    one = bundle_2022()
+    one["annotations"] += [dict(one["annotations"][0], image_id="absent"), dict(one["annotations"][1], category_id=10**6, institution_id=10**6)]
+    path = write(tmp_path / "meta.json", json.dumps(one))
+    star = bundle.star_2022(bundle.read_bundles(spark, path, BUNDLE_2022))
+    counts = dict(rows(training_set.write_year(star, str(tmp_path / "out"), 2022)))
+    n = len(one["annotations"])
+    assert counts == {
+        "annotations": n, "written": n - 2, "dropped": 2, "without species": 0,
+        "without images": 1, "without categories": 1, "without institutions": 1,
+    }
+    metadata = text_of(str(tmp_path / "out/train_2022_metadata.csv"), ".csv")
+    assert metadata[0] == ",image_id,filename,species,genus,family,institution" and len(metadata) == n - 1
+    written = [x for p in ("train", "val") for x in text_of(str(tmp_path / f"out/{p}_2022.json"), ".json")]
+    assert len(written) == n - 2
+    assert {json.loads(x)["name"]: json.loads(x)["n"] for x in text_of(str(tmp_path / "out/account_2022.json"), ".json")} == counts
+
+
 def test_quality_of_folders(spark, tmp_path):
     pixels = np.full((4, 5, 3), 100, np.uint8)
     write(tmp_path / "a" / "x.png", png_bytes(pixels))
@@ -258,8 +295,19 @@ def test_quality_of_folders(spark, tmp_path):
     write(tmp_path / "b" / "recompressed_y.png", png_bytes(pixels))
     write(tmp_path / "b" / "recompressed_z.png", b"broken")
     found = image_jobs.quality_of_folders(spark, str(tmp_path / "a"), f"file://{tmp_path}/b/", str(tmp_path / "log"))
-    got = {r["stem"]: (r["mse"], r["identical"]) for r in found.collect()}
-    assert got == {"x": (9.0, False), "y": (0.0, True)}
+    got = {r["stem"]: (r["mse"], r["identical"], r["error"]) for r in found.collect()}
+    assert got == {"x": (9.0, False, None), "y": (0.0, True, None), "z": (None, None, "no original, unreadable copy")}
+
+
+def test_damaged_and_lone_sides_keep_their_row(spark, tmp_path):
+    pixels = np.full((4, 5, 3), 100, np.uint8)
+    for name, content in {"a/p": png_bytes(pixels), "a/q": b"broken", "a/r": png_bytes(pixels), "a/s": png_bytes(pixels)}.items():
+        write(tmp_path / f"{name}.png", content)
+    for name, content in {"p": png_bytes(pixels)[:30], "q": png_bytes(pixels), "s": png_bytes(pixels[:2])}.items():
+        write(tmp_path / "b" / f"recompressed_{name}.png", content)
+    found = image_jobs.quality_of_folders(spark, str(tmp_path / "a"), str(tmp_path / "b"), str(tmp_path / "log"))
+    got = {r["stem"]: (r["mse"], r["error"]) for r in found.collect()}
+    assert got == {"p": (None, "unreadable copy"), "q": (None, "unreadable original"), "r": (None, "no copy"), "s": (None, "different sizes")}
 
 
 def test_a_photograph_is_resampled_in_seconds():
