@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.urls import is_manifest_link
 from ..schemas import MANIFEST
 from .ordered import rank_in_key
-from .skew import heavy_for, heavy_keys, spread_join
+from .skew import heavy_keys, spread_join
 
 # Image widths asked of an image service, widest first, and the link they go into.
 WIDTHS = (1600, 1200, 800)
@@ -39,8 +39,7 @@ def expanded(catalogue: DataFrame, manifests: DataFrame) -> DataFrame:
     """``gbif_id, candidate_url``: manifest links replaced by the images they name.
 
     A manifest that names none stays a candidate itself. Only manifest links take part in the join;
-    all other rows pass through without an exchange. Missing links are dropped. The catalogue is
-    expected as read from files; ``manifests`` has one row per ``url``.
+    all other rows pass through without an exchange. Missing links are dropped; ``manifests`` has one row per ``url``.
     """
     links = catalogue.filter(F.col("gbif_id").isNotNull() & F.col("identifier").isNotNull()).select(
         "gbif_id", "identifier"
@@ -48,9 +47,10 @@ def expanded(catalogue: DataFrame, manifests: DataFrame) -> DataFrame:
     plain = links.filter(~is_manifest_link(F.col("identifier")))
     read = manifests.select(F.col("url").alias("identifier"), manifest_image_urls(F.col("body")).alias("urls"))
     linked = links.filter(is_manifest_link(F.col("identifier")))
-    heavy = heavy_for(linked, {"identifier": read})["identifier"]
+    heavy = heavy_keys(linked, "identifier")["identifier"]
+    # A link is placed by its id, which a task that runs again reads again.
     named = (
-        spread_join(linked, read, heavy, by=F.monotonically_increasing_id(), how="left")
+        spread_join(linked, read, heavy, by=F.col("gbif_id"), how="left")
         .withColumn("urls", F.when(F.size("urls") > 0, F.col("urls")).otherwise(F.array("identifier")))
         .select("gbif_id", F.explode("urls").alias("candidate_url"))
     )

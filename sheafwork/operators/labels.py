@@ -2,7 +2,8 @@
 
 The joins carry no broadcast hint: Spark broadcasts a dimension when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise. Keys that own a large share of
-the annotations are then spread over tasks (``skew``).
+the annotations are spread over tasks in either case (``skew``): they are looked for in one narrow scan, so no estimate
+of a size can leave them in one task.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import caption, scientific_name, word
 from .ordered import exact_rank
-from .skew import heavy_for, spread_join
+from .skew import heavy_keys, spread_join
 
 
 def last_wins(df: DataFrame, key: str, position: Sequence[str] | None = None) -> DataFrame:
@@ -31,7 +32,7 @@ def last_wins(df: DataFrame, key: str, position: Sequence[str] | None = None) ->
 def _star_join(annotations: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     """Annotations with one row of each dimension; every dimension is deduplicated first."""
     keyed = {key: last_wins(dimension, key) for key, dimension in dimensions.items()}
-    heavy = heavy_for(annotations, keyed)
+    heavy = heavy_keys(annotations, *keyed)
     rows = annotations
     for key, dimension in keyed.items():
         rows = spread_join(rows, dimension, heavy[key], by=F.col("id"))

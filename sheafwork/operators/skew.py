@@ -47,20 +47,6 @@ def heavy_keys(df: DataFrame, *keys: str) -> dict[str, Heavy]:
     return found
 
 
-def is_broadcast(dimension: DataFrame) -> bool:
-    """Whether Spark will broadcast this side by its estimated size; its join then has no exchange."""
-    limit = dimension.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = dimension._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
-def heavy_for(facts: DataFrame, dimensions: dict[str, DataFrame]) -> dict[str, Heavy]:
-    """Heavy keys of the columns whose dimension has to be joined by exchange; none for the others."""
-    exchanged = [key for key, dimension in dimensions.items() if not is_broadcast(dimension)]
-    found = heavy_keys(facts, *exchanged) if exchanged else {}
-    return {key: found.get(key, Heavy(key, ())) for key in dimensions}
-
-
 def divided(df: DataFrame, heavy: Heavy) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys (and of no key), and rows of heavy keys."""
     listed = F.coalesce(F.col(heavy.key).isin([value for value, _ in heavy.tasks]), F.lit(False))

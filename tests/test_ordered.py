@@ -9,7 +9,8 @@ import pytest
 
 from sheafwork.operators import ordered
 from sheafwork.operators.candidates import ordered_candidates
-from sheafwork.operators.skew import Heavy, heavy_for, heavy_keys, is_broadcast, spread_join
+from sheafwork.operators.labels import label_join_2022
+from sheafwork.operators.skew import Heavy, heavy_keys, spread_join
 from pyspark.sql import functions as F
 
 SCHEMA = "k string, t bigint, i bigint, e int, v bigint"
@@ -119,16 +120,25 @@ def test_a_pile_of_copies_is_ordered_whole(many_chunks, tmp_path):
     assert [r["candidate_url"] for r in sorted(got, key=lambda r: r["pos"]) if r["gbif_id"] == 7] == [u for _, u in by_mix]
 
 
-@pytest.mark.parametrize(("limit", "sent"), [("10MB", True), ("-1", False)])
-def test_size_decides_on_a_broadcast(spark, limit, sent):
-    name = "spark.sql.autoBroadcastJoinThreshold"
-    spark.conf.set(name, limit)
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_hot_keys_are_spread_whatever_spark_estimates(spark, tmp_path, limit):
+    """A hot key's rows are found and dealt over tasks whether or not Spark would broadcast the other side."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     try:
-        df = spark.sql("SELECT 'hot' AS k, 1 AS n")
-        assert is_broadcast(df) is sent
-        assert heavy_for(df.union(df), {"k": df})["k"].tasks == (() if sent else (("hot", 8),))
+        star = {"images": [("hot", "a.jpg"), ("k", "b.jpg")], "categories": [(1, "F", "G", "s")], "institutions": [(1, "C")]}
+        images = spark.createDataFrame(star["images"], "image_id string, file_name string")
+        categories = spark.createDataFrame(star["categories"], "category_id int, family string, genus string, species string")
+        institutions = spark.createDataFrame(star["institutions"], "institution_id int, collection_code string")
+        facts = [(f"a{i}", "hot" if i % 10 else "k", 1, 1) for i in range(400)]
+        annotations = spark.createDataFrame(facts, "id string, image_id string, category_id int, institution_id int")
+        heavy = heavy_keys(annotations, "image_id")["image_id"]
+        assert dict(heavy.tasks)["hot"] >= 2
+        joined = label_join_2022(annotations, images, categories, institutions)
+        assert sorted(r["id"] for r in joined.collect()) == sorted(f[0] for f in facts)
+        assert "_spread" in joined._jdf.queryExecution().optimizedPlan().toString()
     finally:
-        spark.conf.unset(name)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_no_heavy_key_means_a_plain_join(spark):
