@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..staging import pinned
+from ..staging import pinned, staged
 from .skew import Heavy, divided, heavy_keys
 
 CHUNK, ROW, CARRY = "_chunk", "_row", "_carry"
@@ -42,7 +42,23 @@ def ordered_chunks(df: DataFrame, order: Sequence[str], keep: Sequence[str] | No
 
 def exact_rank(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Exact 1-based position of every row in the global order; no single-task sort of the rows."""
-    chunks = ordered_chunks(df, order)
+    return _with_offsets(ordered_chunks(df, order), name)
+
+
+def written_rank(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """As ``exact_rank``, of rows that are written once, as Parquet in their order, and read by whoever follows.
+
+    The numbers inside a chunk are written with the rows; the chunks' offsets are added as the rows are read, so wide
+    rows have one copy, of which each reader takes its own columns.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = ranged.withColumns(
+        {CHUNK: F.spark_partition_id(), ROW: F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))}
+    )
+    return _with_offsets(staged(numbered, "ranked"), name)
+
+
+def _with_offsets(chunks: DataFrame, name: str) -> DataFrame:
     earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     # One row per chunk.
     offsets = (

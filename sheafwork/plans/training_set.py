@@ -39,7 +39,7 @@ def build(star: dict[str, DataFrame], year: int) -> DataFrame:
 
 def write_dataset(rows: DataFrame, folder: str, year: int) -> None:
     """``train_<year>`` and ``val_<year>`` as CSV (with row index) and JSON lines (without)."""
-    indexed = staged(with_row_index(rows, ["id"]), "labelled")
+    indexed = with_row_index(rows, ["id"])
     for part in ("train", "val"):
         chosen = indexed.filter(F.col("split") == part)
         write_csv(labelled_columns(chosen, "row_index"), f"{folder}/{part}_{year}.csv", index="row_index")

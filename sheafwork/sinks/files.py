@@ -7,15 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ordered import exact_rank
+from ..operators.ordered import written_rank
 
 # Fixed value: the row-index column of a CSV has no name.
 INDEX_NAME = ""
 
 
 def with_row_index(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Adds ``row_index``: 0-based position in ``order``. Rows keep it through a later split."""
-    return exact_rank(df, order, "_rank").withColumn("row_index", F.col("_rank") - 1).drop("_rank")
+    """Adds ``row_index``: 0-based position in ``order``. Rows keep it through a later split.
+
+    The rows are written once; reading the result again does not order them again.
+    """
+    return written_rank(df, order, "_rank").withColumn("row_index", F.col("_rank") - 1).drop("_rank")
 
 
 def write_csv(df: DataFrame, path: str, index: str | None = None, mode: str = "errorifexists") -> None:

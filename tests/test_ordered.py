@@ -55,6 +55,18 @@ def test_a_hot_key_is_cut(many_chunks, data):
     assert len(sizes) > 4 and max(sizes) < len(data) * 0.4
 
 
+def test_written_rank_makes_one_copy(many_chunks, data, monkeypatch):
+    copies = []
+    monkeypatch.setattr(ordered, "staged", lambda df, label, whole=ordered.staged: copies.append(label) or whole(df, label))
+    monkeypatch.setattr(ordered, "pinned", lambda df: 1 / 0)
+    df = frame(many_chunks, data)
+    ranked = ordered.written_rank(df, ["t", "i"], "n")
+    got = {r["i"]: r["n"] for r in ranked.collect()}
+    in_order = sorted(df.collect(), key=lambda r: (r["t"], r["i"]))
+    assert got == {r["i"]: n for n, r in enumerate(in_order, 1)} and copies == ["ranked"]
+    assert ordered.written_rank(df.limit(0), ["t", "i"], "n").count() == 0
+
+
 def test_exact_rank(many_chunks, data):
     got = {r["i"]: r["n"] for r in ordered.exact_rank(frame(many_chunks, data), ["t", "i"], "n").collect()}
     assert got == {row[2]: n for n, row in enumerate(sorted(data, key=lambda r: (r[1], r[2])), 1)}
