@@ -98,13 +98,19 @@ class BucketTable:
     def add_new(self, rows: DataFrame, batch: int | None = None, origin: str | None = None) -> None:
         """Add the keys the table doesn't have, each once."""
 
-        def unseen(found: DataFrame, version: Version) -> DataFrame:
-            once = found.dropDuplicates(["bucket", "key"])
-            touched = [r["bucket"] for r in once.select("bucket").distinct().collect()]
-            stored = self.rows(version, touched).select("bucket", "key")
-            return once.join(stored, ["bucket", "key"], "left_anti")
+        self._update(rows, batch, origin, self._unseen, lambda merged: merged)
 
-        self._update(rows, batch, origin, unseen, lambda merged: merged)
+    def _unseen(self, placed: DataFrame, version: Version) -> DataFrame:
+        once = placed.dropDuplicates(["bucket", "key"])
+        touched = [r["bucket"] for r in once.select("bucket").distinct().collect()]
+        stored = self.rows(version, touched).select("bucket", "key")
+        return once.join(stored, ["bucket", "key"], "left_anti")
+
+    def unseen(self, rows: DataFrame) -> DataFrame:
+        """The keys the table doesn't have, each once; reads the buckets of these rows only."""
+        version = self.version()
+        placed = rows.withColumn("bucket", self.bucket_of(F.col("key"), version.buckets))
+        return self._unseen(placed, version).select("key")
 
     def put(self, rows: DataFrame, batch: int | None = None) -> None:
         """Add rows whose values replace those of earlier batches; keys of one update are distinct."""
