@@ -18,7 +18,7 @@ from . import (
     ngram_join,
     quality,
     sharding,
-    suffix_dedup,
+    suffix_array,
     topk,
     url_filter,
 )
@@ -80,7 +80,7 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    found = suffix_array.repeated_spans(table(spark, sf_dir, "documents"))
     span = found.select("doc_id", F.explode("spans").alias("span"))
     start, end = F.col("span.start"), F.col("span.end")
     return span.select(

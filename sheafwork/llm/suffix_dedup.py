@@ -201,12 +201,17 @@ def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     Texts without spans stay as they are, to the byte, and so do rows without id or text.
     """
+    return without_spans(docs, repeated_spans(docs, least))
+
+
+def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` without the words of ``found``: ``doc_id``, ``mark``, ``spans`` as ``repeated_spans`` gives them."""
     # Columns are numbered while they travel, so that none can clash with the operator's own.
     own, place = docs.columns, docs.columns.index("text")
     names = [f"c{i}" for i in range(len(own))]
     numbered = docs.toDF(*names)
     doc, text = f"c{own.index('doc_id')}", f"c{place}"
-    spans = staged(repeated_spans(docs, least), "spans").select("doc_id", "mark", "spans")
+    spans = staged(found, "spans").select("doc_id", "mark", "spans")
     rows = numbered.join(spans, (F.col(doc) == F.col("doc_id")) & (F.xxhash64(text) == F.col("mark")), "left")
     untouched, touched = rows.filter("spans IS NULL").select(*names), rows.filter("spans IS NOT NULL").drop("doc_id", "mark")
 
