@@ -214,8 +214,8 @@ def extended(suffixes: DataFrame, parts: int) -> DataFrame:
             out = batch.set_column(batch.schema.get_field_index("more"), "more", pa.array(more, pa.int32()))
             yield out.filter(pa.array(more >= 0))
 
-    still = settled.filter((F.col("kind") == OPEN)).mapInArrow(settle, _SETTLED).filter("asked")
-    return settled.filter(F.col("kind") == MATCH).unionByName(still).select(*_PLACE, "more")
+    # Matches hold no side words and their cores lie at no border: they go through as they are, in the same pass.
+    return settled.filter((F.col("kind") != BORDER) & F.col("asked")).mapInArrow(settle, _SETTLED).select(*_PLACE, "more")
 
 
 def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
