@@ -38,6 +38,8 @@ EPOCHS, BATCH, RATE, SEED = 8, 16, 20.0, 7
 LEAST_STEPS = 1500
 CALIBRATED = 50
 LEAST_PROBABILITY = 0.5
+# Bytes of texts worked on at once; a byte begins up to three subwords, of some forty bytes each on their way.
+SLICE = 1 << 19
 UNDETERMINED = "und"
 _HASHES = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 _JUDGED = ("lang_pred", "score", "rejected")
@@ -49,7 +51,7 @@ def subwords(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = text_bytes(pc.utf8_lower(texts.cast(pa.large_string())))
     n = len(data)
     if not n:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint16), np.empty(0, np.int32)
     gap = SEPARATOR[data]
     text = np.where(gap, np.uint8(32), data).astype(np.uint32)
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets))
@@ -65,9 +67,9 @@ def subwords(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
                 good &= ~gap[k : k + m]
         good &= ~(gap[:m] & gap[size - 1 :])
         hashed = (value ^ np.uint32(size)) * np.uint32(factor)
-        buckets.append(((hashed ^ (hashed >> np.uint32(15))) >> np.uint32(32 - 15))[good])
+        buckets.append(((hashed ^ (hashed >> np.uint32(15))) >> np.uint32(32 - 15))[good].astype(np.uint16))
         owners.append(owner[:m][good])
-    return np.concatenate(buckets).astype(np.int64), np.concatenate(owners).astype(np.int64)
+    return np.concatenate(buckets), np.concatenate(owners)
 
 
 def has_letter(text: str | None) -> bool:
@@ -177,7 +179,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LA
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 buckets, owners = subwords(part.column("text"))
                 order = np.argsort(owners, kind="stable")
                 cuts = np.searchsorted(owners[order], np.arange(part.num_rows + 1))
@@ -211,7 +213,7 @@ def judgement(text: Column, model: Model) -> Column:
 
     def judge(texts: pa.Array) -> pa.Array:
         found: tuple[list, list, list] = ([], [], [])
-        for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+        for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", SLICE):
             for kept, values in zip(found, model.predict(part.column("text"))):
                 kept.extend(values)
         columns = [pa.array(c, k) for c, k in zip(found, (pa.string(), pa.float64(), pa.bool_()))]
