@@ -34,6 +34,8 @@ REMEMBERED = 400_000
 # Bytes of pieces in one recursive query.
 QUERY_BYTES = 1 << 19
 MEMORY = "400MB"
+# Bytes of texts worked on at once; their pieces and ids take some forty times that on their way.
+SLICE = 1 << 21
 BLOCKS = 4
 # Bytes of a short piece at most, and rows that the rounds of one query of short pieces have at most.
 SHORT, QUERY_ROWS = 128, 1 << 22
@@ -315,7 +317,7 @@ def encoded(docs: DataFrame, ranks_path: str, decode: bool = True) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(ranks_path)
         for batch in batches:
-            for part in slices(batch, "text", 1 << 23):
+            for part in slices(batch, "text", SLICE):
                 yield coder.rows(part.column("doc_id"), part.column("text"), decode)
 
     schema = SCHEMA if decode else SCHEMA.removesuffix(_DECODED)
