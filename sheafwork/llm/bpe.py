@@ -34,7 +34,7 @@ REMEMBERED = 400_000
 # Bytes of pieces in one recursive query.
 QUERY_BYTES = 1 << 19
 MEMORY = "400MB"
-# Bytes of texts worked on at once; their pieces and ids take some forty times that on their way.
+# Bytes of texts worked on at once; their pieces and ids take many times that on their way.
 SLICE = 1 << 21
 BLOCKS = 4
 # Bytes of a short piece at most, and rows that the rounds of one query of short pieces have at most.

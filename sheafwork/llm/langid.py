@@ -38,7 +38,7 @@ EPOCHS, BATCH, RATE, SEED = 8, 16, 20.0, 7
 LEAST_STEPS = 1500
 CALIBRATED = 50
 LEAST_PROBABILITY = 0.5
-# Bytes of texts worked on at once; a byte begins up to three subwords, of some forty bytes each on their way.
+# Bytes of texts worked on at once; a byte begins up to three subwords, each held in several arrays.
 SLICE = 1 << 19
 UNDETERMINED = "und"
 _HASHES = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
