@@ -162,6 +162,9 @@ def q_image_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Streams
 
+# Triggers that take in a stream of id lines, whatever number of files Spark wrote them to.
+ID_TRIGGERS = 4
+
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in order of time, a third of the span to a trigger."""
@@ -194,13 +197,23 @@ def st_host_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.latest_totals(spark, path)
 
 
+def _line_stream(spark: SparkSession, source: str) -> DataFrame:
+    """Lines stored in ``source`` in order of time, an equal share of its files to a trigger.
+
+    The files are as many as tasks wrote them, and a trigger costs the same jobs for few ids as for many. With a
+    file to a trigger, triggers would grow with the input, and every one of them reads the ids of those before it.
+    """
+    files = len(spark.read.schema("line string").parquet(source).inputFiles())
+    share = max(1, -(-files // ID_TRIGGERS))
+    return spark.readStream.schema("line string").option("maxFilesPerTrigger", share).parquet(source)
+
+
 @query
 def st_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, path = stage_path(spark, "id_lines"), stage_path(spark, "id_list")
     for name in ("processed_ids", "failed_ids"):
         view(spark, sf_dir, name).select("line").write.mode("append").parquet(source)
-    lines = spark.readStream.schema("line string").option("maxFilesPerTrigger", 1).parquet(source)
-    ids = lines.select(strip(F.col("line")).alias("id")).filter(F.length("id") > 0)
+    ids = _line_stream(spark, source).select(strip(F.col("line")).alias("id")).filter(F.length("id") > 0)
     _run(checkpoint.id_list_writer(ids, path), spark)
     return checkpoint.read_list(spark, path).groupBy("id").agg(F.count("*").alias("n_lines"))
 

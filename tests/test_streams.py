@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from test_guard import SCHEMA, decided, expected_decisions, log
 
+from sheafwork import queries_files
 from sheafwork.operators import guard as replay_module
 from sheafwork.streaming import checkpoint, guard, milestones, totals
 
@@ -116,3 +119,21 @@ def test_milestones_count_on_over_triggers(spark, tmp_path):
 
     feed(spark, source, [hits[:35], hits[35:36], hits[36:]], schema, start)
     assert rows(milestones.reached(spark, out)) == [(30, 1019), (60, 1049), (90, 1079)]
+
+
+def test_id_lines_in_many_files_take_a_fixed_number_of_triggers(spark, tmp_path, monkeypatch):
+    paths, own = {}, queries_files.stage_path
+    monkeypatch.setattr(queries_files, "stage_path", lambda s, label: paths.setdefault(label, own(s, label)))
+    orders = spark.createDataFrame([(k, "FPO"[k % 3]) for k in range(1, 61)], "o_orderkey bigint, o_orderstatus string")
+    orders.repartition(4).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1,)], "r_regionkey int").write.parquet(str(tmp_path / "region.parquet"))
+    cost = "spark.sql.files.openCostInBytes"
+    spark.conf.set(cost, "128m")
+    try:
+        found = rows(queries_files.st_checkpoint(spark, str(tmp_path)))
+    finally:
+        spark.conf.unset(cost)
+    files = spark.read.parquet(paths["id_lines"]).inputFiles()
+    triggers = [p for p in Path(paths["progress"], "commits").iterdir() if p.name.isdigit()]
+    assert len(files) > 8 and len(triggers) <= queries_files.ID_TRIGGERS
+    assert found == sorted(((str(k * 37), 1) for k in range(1, 61) if k % 3 != 2), key=repr)
