@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from ..staging import staged
 from .components import components
 from .packed import from_planes, pack, part_bits, planes, unpack
+from .presence import told_apart
 from .words import batch_words, gram_hashes, mix, slices
 
 WORDS, PERCENT = 4, 85
@@ -348,7 +349,9 @@ def _members(docs: DataFrame, named: DataFrame, groups: DataFrame) -> DataFrame:
     )
     many = known.filter(~alone).select(*told, F.col("group").alias("unit"), (drawn < PIVOTS / F.col("_nodes")).alias("pivot"))
     placed = few.unionByName(_dealt(many, "low"))
-    return placed.join(docs.select("doc_id", "text"), "doc_id").drop("doc_id")
+    # Documents outside all groups are not exchanged.
+    texts, _ = told_apart(docs.select("doc_id", "text"), F.col("doc_id").cast("bigint"), members.select("doc_id"))
+    return placed.join(texts, "doc_id").drop("doc_id")
 
 
 def _sets(table: pa.Table, n: int) -> tuple[np.ndarray, list[np.ndarray], pa.Table]:

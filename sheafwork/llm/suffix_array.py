@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import staged
+from .presence import told_apart
 from .spans import joined_spans
 from .suffix_dedup import AFTER, BEFORE, CORE, LEAST, REACH, SLICE, cores, without_spans
 from .words import batch_words, mix, slices
@@ -73,9 +74,12 @@ def matches(docs: DataFrame) -> DataFrame:
     # or texts, and Spark splits what is skewed.
     occurrences = kept.join(repeated, "core").select("core", "doc_id", "mark", "pos", "first_doc_id", original.alias("original"))
     place = F.struct("pos", "core", "first_doc_id", "original")
-    per_text = occurrences.groupBy("doc_id", "mark").agg(F.collect_set(place).alias("places"))
+    per_text = staged(occurrences.groupBy("doc_id", "mark").agg(F.collect_set(place).alias("places")), "places")
+    # Texts without a repeated core are not exchanged.
+    named = F.xxhash64("doc_id", "mark")
+    texts, _ = told_apart(marked, named, per_text.select(named))
     # Rows that repeat id and text give the same suffixes, which are equal rows in either order.
-    found = staged(marked.join(per_text, ["doc_id", "mark"]).mapInArrow(_with_surroundings, _SURROUNDED), "surroundings")
+    found = staged(texts.join(per_text, ["doc_id", "mark"]).mapInArrow(_with_surroundings, _SURROUNDED), "surroundings")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-found.count() // ROWS))
     sides = [
         extended(found.select(*_PLACE, F.lit(True).alias("asked"), F.col("left").alias("side")), parts).select(

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import staged
+from .presence import told_apart
 from .spans import joined_spans
 from .words import batch_words, gram_hashes, mix, slices, text_bytes, word_bounds
 
@@ -212,8 +213,12 @@ def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     numbered = docs.toDF(*names)
     doc, text = f"c{own.index('doc_id')}", f"c{place}"
     spans = staged(found, "spans").select("doc_id", "mark", "spans")
-    rows = numbered.join(spans, (F.col(doc) == F.col("doc_id")) & (F.xxhash64(text) == F.col("mark")), "left")
-    untouched, touched = rows.filter("spans IS NULL").select(*names), rows.filter("spans IS NOT NULL").drop("doc_id", "mark")
+    # Only rows that may have spans are exchanged.
+    named = F.xxhash64(F.col(doc).cast("bigint"), F.xxhash64(text))
+    doubtful, sure = told_apart(numbered, named, spans.select(F.xxhash64("doc_id", "mark")))
+    rows = doubtful.join(spans, (F.col(doc) == F.col("doc_id")) & (F.xxhash64(text) == F.col("mark")), "left")
+    untouched = sure.unionByName(rows.filter("spans IS NULL").select(*names))
+    touched = rows.filter("spans IS NOT NULL").drop("doc_id", "mark")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
