@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .frugal import over_batches
 from .words import hash_ranges, slices, text_bytes
 
 # Pieces a task keeps the tokens of; beyond it the memory starts anew. Results don't depend on it.
@@ -314,6 +315,7 @@ def encoded(docs: DataFrame, ranks_path: str, decode: bool = True) -> DataFrame:
     Texts stay where they are: no exchange. ``ranks_path`` names a rank file every executor has.
     """
 
+    @over_batches
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(ranks_path)
         for batch in batches:

@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .frugal import over_batches
 from .words import SEPARATOR, slices, text_bytes
 
 PER_LANGUAGE, LANGUAGES = 800, 200
@@ -177,6 +178,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LA
     into by the bound of the sample: each is a vector of ``BUCKETS`` counts at most.
     """
 
+    @over_batches
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
@@ -189,6 +191,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LA
                     packed.append(found.astype(np.uint16).tobytes() + counts.astype(np.uint32).tobytes())
                 yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(packed, pa.binary())], names=["lang", "vector"])
 
+    @over_batches
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in zip(b.column("lang").to_pylist(), b.column("vector").to_pylist())]
         # The order rows arrive in must not matter. Vectors are read where they lie: six bytes for a subword.

@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from ..staging import staged
 from .components import components
+from .frugal import over_batches, over_table
 from .packed import from_planes, pack, part_bits, planes, unpack
 from .presence import told_apart
 from .words import batch_words, gram_hashes, mix, slices
@@ -144,6 +145,7 @@ def candidate_edges(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Edges ``a``, ``b`` between nodes that share a routing key."""
     bits = part_bits(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
+    @over_batches
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         routing = Routing(percent)
         keys, nodes, held = [], [], 0
@@ -174,6 +176,7 @@ def candidate_edges(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     keys, nodes, held = [], [], 0
         yield from flush()
 
+    @over_table
     def tie(table: pa.Table) -> pa.Table:
         column = lambda name: table.column(name).to_pylist()
         keys = np.concatenate([unpack(k) for k in column("keys")])
@@ -299,6 +302,7 @@ def crossing_links(
 def nodes_of(docs: DataFrame, n: int) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``node`` (null for an empty set), least and greatest shingle of every row."""
 
+    @over_batches
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text", SLICE):
@@ -392,6 +396,7 @@ def still_open(rest: DataFrame, n: int, percent: int) -> DataFrame:
     ranges = 1 << max(1, (total // CHUNK).bit_length())
     chunked = rest.select("node", "class", "text", F.pmod(F.xxhash64("node", F.lit("count")), F.lit(total // CHUNK + 1)).alias("chunk"))
 
+    @over_table
     def send(table: pa.Table) -> pa.Table:
         _, sets, rows = _sets(table, n)
         keys, classes, mixed = _runs(sets, rows.column("class").to_numpy())
@@ -405,6 +410,7 @@ def still_open(rest: DataFrame, n: int, percent: int) -> DataFrame:
         kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
         return pa.table({name: pa.array(column, kind) for (name, column), kind in zip(rows.items(), kinds)})
 
+    @over_table
     def answer(table: pa.Table) -> pa.Table:
         sent = table.to_pylist()
         keys = [unpack(r["keys"]) for r in sent]
@@ -433,6 +439,7 @@ def links(docs: DataFrame, named: DataFrame, n: int = WORDS, percent: int = PERC
     groups = components(candidate_edges(docs, n, percent))
     members = staged(_members(docs, named, groups), "block-members")
 
+    @over_table
     def within(table: pa.Table) -> pa.Table:
         nodes, sets, _ = _sets(table, n)
         return pa.table({"a": nodes, "b": linked_classes(nodes, sets, percent)})
@@ -490,6 +497,7 @@ def _crossing(rest: DataFrame, n: int, percent: int) -> DataFrame:
         "unit", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "node", "text", "class", F.lit(False).alias("asks")
     )
 
+    @over_table
     def across(table: pa.Table) -> pa.Table:
         sides = []
         for side in (True, False):

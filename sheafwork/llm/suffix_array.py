@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import staged
+from .frugal import over_batches
 from .presence import told_apart
 from .spans import joined_spans
 from .suffix_dedup import AFTER, BEFORE, CORE, LEAST, REACH, SLICE, cores, without_spans
@@ -100,6 +101,7 @@ _KINDS = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()
 MATCH, OPEN, BORDER = 0, 1, 2
 
 
+@over_batches
 def _with_surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words around every occurrence of a repeated core; ``ends``: no later occurrence touches it on the right."""
     for batch in batches:
@@ -160,6 +162,7 @@ def run_minima(core: np.ndarray, beside: np.ndarray, held: np.ndarray, rank: np.
     return least, more
 
 
+@over_batches
 def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A sorted partition's matches, the suffixes of its first and last core, and the runs at its borders."""
     rows = [b for b in batches if b.num_rows]
@@ -204,6 +207,7 @@ def extended(suffixes: DataFrame, parts: int) -> DataFrame:
     hashes = np.array([r["core"] for r in runs], np.int64)
     docs, places = np.array([r["least"]["doc_id"] for r in runs], np.int64), np.array([r["least"]["pos"] for r in runs], np.int64)
 
+    @over_batches
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import staged
+from .frugal import over_batches
 from .presence import told_apart
 from .spans import joined_spans
 from .words import batch_words, gram_hashes, mix, slices, text_bytes, word_bounds
@@ -77,6 +78,7 @@ def core_hashes(words: np.ndarray, positions: np.ndarray) -> np.ndarray:
 def cores(docs: DataFrame) -> DataFrame:
     """``core``, ``doc_id``, ``mark``, ``pos`` of every kept suffix; ``fresh`` if its text has none before."""
 
+    @over_batches
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text", SLICE):
@@ -220,6 +222,7 @@ def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     untouched = sure.unionByName(rows.filter("spans IS NULL").select(*names))
     touched = rows.filter("spans IS NOT NULL").drop("doc_id", "mark")
 
+    @over_batches
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, text, SLICE):
