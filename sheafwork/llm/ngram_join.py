@@ -3,6 +3,10 @@
 A document is the set of its distinct word shingles. Documents with equal sets are one node, which takes
 care of exact copies. Two nodes link when 100 * intersection >= ``percent`` * union.
 
+0. **Loners.** Of linked sets each has ``percent`` of its shingles in the other. So the shingles of one range of
+   hashes (a sample, the same for all sets) are counted: a set that has more of them to itself than it may have in all
+   can't link, and takes no further part. Without this, sets that share a few shingles by chance would be tied
+   into groups that grow with the table, until nearly all texts are in one.
 1. **Routing.** A link bounds how many shingles two sets don't share. A set's sorted hash range is cut
    into one part more than that (and some, for parts that hold nothing), so two linked sets agree on a
    whole part at least. Every part's digest is a routing key; sizes are cut into classes, and a set is
@@ -58,6 +62,11 @@ CHUNK = 1_000_000
 # Weight of a probe against a merge step, in the choice of how many lists are long. Both are a few operations on whole
 # arrays here; in a block of 1,090 documents that share much, 0.01, 0.1 and 1 took 7.4, 6.9 and 8.0 s.
 PROBE_WEIGHT = 0.1
+# Shingles that are counted to find loners, as times what a set may have to itself: sets with half of their shingles in
+# no other are left out.
+SAMPLED = 2
+# Bits of a shingle's and of a node's hash that are compared there. Equal ones of different shingles let more sets pass.
+KEY_BITS, NAME_BITS = 44, 40
 _U = np.uint64
 
 
@@ -190,6 +199,136 @@ def candidate_edges(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return routed.groupBy("part").applyInArrow(tie, "a bigint, b bigint")
 
 
+def _sampled(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """Ascending distinct keys of a set's shingles in the sample, which is the lower end of the hashes."""
+    share = SAMPLED * (100 - percent)
+    if share < 100:
+        shingles = shingles[: np.searchsorted(shingles, _U((share << 64) // 100))]
+    return np.unique(shingles >> _U(64 - KEY_BITS))
+
+
+def _cuts(values: np.ndarray, bits: int, of: int) -> np.ndarray:
+    """Borders of the parts (by the leading ``bits``) of ascending numbers of ``of`` bits."""
+    return np.append(np.searchsorted(values, np.arange(1 << bits, dtype=np.uint64) << _U(of - bits)), len(values))
+
+
+def _added(names: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    own, at = np.unique(names, return_inverse=True)
+    return own, np.bincount(at, values, len(own)).astype(np.int64)
+
+
+def able_nodes(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``node`` of the sets that may link: all that do, and those the sample of their shingles doesn't rule out.
+
+    A task sends its sampled shingles, each with its node, or once if several of the task's nodes have it, and a balance per
+    node: the shingles known to be in several nodes, less those that have to be. Ranges of shingles add what they find.
+    A node that comes from several tasks has all of this as often, so that the sign of its sum stays.
+    """
+    bits = part_bits(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # Sums are a small part of what is sent, so they are in fewer parts.
+    sum_bits = bits - 2
+    strip = _U(64 - NAME_BITS)
+
+    @over_batches
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, needs, held = {}, {}, 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not sets:
+                return
+            nodes = np.fromiter(sets, np.int64, len(sets)).view(np.uint64)
+            sizes = np.array([len(s) for s in sets.values()])
+            owner = np.repeat(np.arange(len(nodes)), sizes)
+            every = np.concatenate(list(sets.values()))
+            order = np.argsort(every, kind="stable")
+            every, owner = every[order], owner[order]
+            first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.empty(0, np.int64)
+            # A set has a key once, so a key that comes again is in another set.
+            mixed = np.diff(np.append(first, len(every))) > 1
+            known = np.bincount(owner[np.repeat(mixed, np.diff(np.append(first, len(every))))], minlength=len(nodes))
+            balance = known - np.fromiter(needs.values(), np.int64, len(nodes))
+            keys, names = every[first], nodes[owner[first]] >> strip
+            cuts = _cuts(keys, bits, KEY_BITS)
+            shares = np.linspace(0, len(nodes), (1 << bits) + 1).astype(np.int64)
+            for part, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
+                # Balances have nothing to do with the part; they only travel along.
+                e = slice(shares[part], shares[part + 1])
+                if i == j and e.start == e.stop:
+                    continue
+                flags = np.packbits(mixed[i:j]).tobytes()
+                columns = [[part], [pack(keys[i:j])], [planes(names[i:j])], [flags], [nodes[e].tobytes()], [balance[e].tobytes()]]
+                kinds = (pa.int32(), *[pa.binary()] * 5)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "keys", "names", "mixed", "nodes", "balance"]
+                )
+
+        for batch in batches:
+            for piece in slices(batch, "text", SLICE):
+                for shingles in shingle_sets(piece.column("text"), n):
+                    if len(shingles) and (node := digest(shingles)) not in sets:
+                        sets[node] = _sampled(shingles, percent)
+                        needs[node] = len(sets[node]) - (100 - percent) * len(shingles) // 100
+                        held += len(sets[node])
+                if held > GATHERED:
+                    yield from flush()
+                    sets, needs, held = {}, {}, 0
+        yield from flush()
+
+    @over_table
+    def count(table: pa.Table) -> pa.Table:
+        column = lambda name: table.column(name).to_pylist()
+        parts = [unpack(k) for k in column("keys")]
+        keys = np.concatenate(parts)
+        names = np.concatenate([from_planes(x, np.uint64) for x in column("names")])
+        mixed = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(column("mixed"), parts)]).astype(bool)
+        order = np.argsort(keys, kind="stable")
+        keys, names, mixed = keys[order], names[order], mixed[order]
+        _, _, shared = _mixed(keys, names, mixed)
+        lengths = np.diff(np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))) if len(keys) else np.empty(0, np.int64)
+        seen = names[np.repeat(shared, lengths) & ~mixed]
+        seen, counts = _added(seen, np.ones(len(seen)))
+        nodes = np.concatenate([np.frombuffer(x, np.uint64) for x in column("nodes")])
+        nodes, balance = _added(nodes, np.concatenate([np.frombuffer(x, np.int64) for x in column("balance")]))
+        rows = {name: [] for name in ("part", "names", "counts", "nodes", "balance")}
+        by_name, by_node = _cuts(seen, sum_bits, NAME_BITS), _cuts(nodes, sum_bits, 64)
+        for part in np.flatnonzero((by_name[1:] > by_name[:-1]) | (by_node[1:] > by_node[:-1])):
+            a, b = slice(by_name[part], by_name[part + 1]), slice(by_node[part], by_node[part + 1])
+            values = (part, pack(seen[a]), planes(counts[a]), nodes[b].tobytes(), balance[b].tobytes())
+            for name, value in zip(rows, values):
+                rows[name].append(value)
+        kinds = (pa.int32(), *[pa.binary()] * 4)
+        return pa.table({name: pa.array(column, kind) for (name, column), kind in zip(rows.items(), kinds)})
+
+    @over_table
+    def judge(table: pa.Table) -> pa.Table:
+        column = lambda name: table.column(name).to_pylist()
+        names = np.concatenate([unpack(x) for x in column("names")])
+        seen, counts = _added(names, np.concatenate([from_planes(x, np.int64) for x in column("counts")]))
+        nodes = np.concatenate([np.frombuffer(x, np.uint64) for x in column("nodes")])
+        nodes, balance = _added(nodes, np.concatenate([np.frombuffer(x, np.int64) for x in column("balance")]))
+        own = nodes >> strip
+        if len(seen):
+            at = np.minimum(np.searchsorted(seen, own), len(seen) - 1)
+            balance = balance + np.where(seen[at] == own, counts[at], 0)
+        # Nodes with one name can't be told apart; what is counted for one of them may be missing at the other.
+        twin = own[1:] == own[:-1]
+        able = (balance >= 0) | np.append(False, twin) | np.append(twin, False) if len(own) else np.empty(0, bool)
+        return pa.table({"node": nodes[able].view(np.int64)})
+
+    sent = docs.select("text").mapInArrow(send, "part int, keys binary, names binary, mixed binary, nodes binary, balance binary")
+    counted = sent.groupBy("part").applyInArrow(count, "part int, names binary, counts binary, nodes binary, balance binary")
+    return counted.groupBy("part").applyInArrow(judge, "node bigint")
+
+
+def _able_docs(docs: DataFrame, named: DataFrame, n: int, percent: int) -> DataFrame:
+    """One document (``doc_id``, ``text``) per set that may link, that of the least id."""
+    able = staged(able_nodes(docs, n, percent), "able-nodes")
+    first = named.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    ids = staged(first.join(able, "node").select("doc_id").distinct(), "able-ids")
+    texts, _ = told_apart(docs.select("doc_id", "text"), F.col("doc_id"), ids)
+    return staged(texts.join(ids, "doc_id", "left_semi"), "able-texts")
+
+
 class Block:
     """Sets of a block with their inverted lists, and classes of connected nodes."""
 
@@ -436,6 +575,7 @@ def still_open(rest: DataFrame, n: int, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, named: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Rows ``a``, ``b`` of node numbers: enough links to connect what links connect."""
+    docs = _able_docs(docs, named, n, percent)
     groups = components(candidate_edges(docs, n, percent))
     members = staged(_members(docs, named, groups), "block-members")
 

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,46 @@ def test_routing_meets_every_linked_pair():
                 assert np.intersect1d(routing.keys(a), routing.keys(b)).size, (size, drop)
 
 
+@pytest.mark.parametrize("name_bits", [40, 8])
+def test_only_sets_with_shingles_in_others_may_link(spark, monkeypatch, name_bits):
+    """With the whole of the hashes as the sample: those with enough of their shingles in other sets, however often and
+    in however many tasks a set comes. Sets whose names are equal pass."""
+    rng = random.Random(6)
+    rows = copies(8, 15, 4, 80) + [(1000 + k, " ".join(words(rng, 40))) for k in range(150)]
+    # Two halves of other texts: no link, but every shingle but those in the middle is in another set.
+    rows += [(2000, " ".join([*rows[0][1].split(), *rows[1][1].split()])), (2001, None), (2002, " "), (2003, "a")]
+    rows += [(3000 + i, t) for i, t in rows if t]
+    monkeypatch.setattr(ngram_join, "SAMPLED", 100)
+    monkeypatch.setattr(ngram_join, "NAME_BITS", name_bits)
+    own = {}
+    for _, text in rows:
+        for s in ngram_join.shingle_sets(pa.array([text], pa.string()), 4):
+            if len(s):
+                own[ngram_join.digest(s)] = s
+    counts = Counter(x for s in own.values() for x in s.tolist())
+    expected = {d for d, s in own.items() if 100 * sum(counts[x] > 1 for x in s.tolist()) >= 85 * len(s)}
+    assert 10 < len(expected) < len(own) - 100
+    for tasks in (1, 7):
+        found = [r["node"] for r in ngram_join.able_nodes(table(spark, rows).repartition(tasks), 4, 85).collect()]
+        assert len(found) == len({*found}) and expected <= {*found}
+        assert {*found} == expected if name_bits == 40 else {*found} <= {*own}
+
+
+def test_documents_that_cannot_link_take_no_part_in_the_search(spark, monkeypatch):
+    """A line that all share, and words that come again and again, tied unrelated documents into one group."""
+    rng = random.Random(7)
+    line = words(rng, 10)
+    rows = [(i, " ".join([*(f"v{rng.randrange(5000)}" for _ in range(90)), *line])) for i in range(400)]
+    rows += [(1000 + i, f"{rows[i][1]} {line[0]}") for i in range(12)]
+    searched, candidate_edges = [], ngram_join.candidate_edges
+    monkeypatch.setattr(ngram_join, "candidate_edges", lambda docs, *given: searched.append(docs) or candidate_edges(docs, *given))
+    found = components_found(table(spark, rows), 4, 85)
+    assert found == brute_components(rows, 4, 85)
+    ids = {r["doc_id"] for r in searched[0].collect()}
+    # The sample of a short text may be small by chance; few of those pass.
+    assert {*range(12), *range(1000, 1012)} <= ids and len(ids) < 60
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, k) for k in range(101, 140)] + [(200, 201), (5, 5)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
