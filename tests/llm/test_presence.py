@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sheafwork.llm import presence, suffix_dedup, url_filter
+from sheafwork.llm import ngram_join, presence, suffix_dedup, url_filter
 
 
 @pytest.fixture
@@ -62,3 +62,14 @@ def test_documents_without_copies_are_not_exchanged(no_broadcasts):
     kept = [tuple(r) for r in corpus_pipeline.near_copies(spark, docs, "").collect()]
     assert sorted(kept, key=repr) == sorted([*((i, t) for i, t in enumerate(own) if i != 150), (None, own[7])], key=repr)
     assert in_order([i for i, _ in kept if i not in (7, 20, None)])
+
+
+def test_near_copies_are_searched_among_documents_that_may_have_some(spark, monkeypatch):
+    own, searched, candidate_edges = texts(200), [], ngram_join.candidate_edges
+    own[150] = f"{own[7]} more"
+    docs = spark.createDataFrame(list(enumerate(own)), "doc_id bigint, text string")
+    monkeypatch.setattr(ngram_join, "candidate_edges", lambda docs, *given: searched.append(docs) or candidate_edges(docs, *given))
+    kept = {r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, "").collect()}
+    assert kept == {*range(200)} - {150}
+    ids = {r["doc_id"] for r in searched[0].collect()}
+    assert {7, 150} <= ids and len(ids) < 30
